@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tunewright.operators import rank
+from tunewright.session import settle
 from tunewright.specs import SplitSpec
 
 NAMES = ("train", "val", "test")
@@ -52,7 +53,7 @@ def largest_remainder(df: DataFrame, size: str, total: int, draws: int, out: str
 
 def class_quotas(df: DataFrame, column: str, spec: SplitSpec) -> tuple[DataFrame, int]:
     """Per class the rows of test and of test + val; and the number of classes."""
-    classes = df.groupBy(F.col(f"`{column}`").alias("_s")).agg(F.count("*").alias("_n"))
+    classes = settle(df.groupBy(F.col(f"`{column}`").alias("_s")).agg(F.count("*").alias("_n")))
     facts = classes.agg(
         F.sum("_n").alias("n"),
         F.count("*").alias("classes"),
@@ -71,14 +72,12 @@ def class_quotas(df: DataFrame, column: str, spec: SplitSpec) -> tuple[DataFrame
     quotas = largest_remainder(classes, "_n", n, n_train + n_val, "_tv")
     quotas = largest_remainder(quotas, "_tv", n_train + n_val, n_train, "_train")
     test = F.col("_n") - F.col("_tv")
-    return (
-        quotas.select(
-            F.col("_s").alias(column),
-            test.alias("test"),
-            (test + F.col("_tv") - F.col("_train")).alias("upto_val"),
-        ),
-        facts.classes,
+    quotas = quotas.select(
+        F.col("_s").alias(column),
+        test.alias("test"),
+        (test + F.col("_tv") - F.col("_train")).alias("upto_val"),
     )
+    return settle(quotas), facts.classes
 
 
 def split(

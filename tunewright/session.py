@@ -5,8 +5,11 @@ On a cluster the session is made by the platform; these helpers only read it.
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,6 +25,7 @@ def local_session(cpus: int | str = "*", app: str = "tunewright", **conf: str) -
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "16g")
     )
     for k, v in conf.items():
@@ -29,6 +33,17 @@ def local_session(cpus: int | str = "*", app: str = "tunewright", **conf: str) -
     return b.getOrCreate()
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Give the Python workers this package, wherever the driver found it. Once per context."""
+    sc = spark.sparkContext
+    if getattr(sc, "_tunewright_shipped", False):
+        return
+    package = Path(__file__).resolve().parent
+    base = os.path.join(tempfile.mkdtemp(prefix="tunewright-code-"), package.name)
+    sc.addPyFile(shutil.make_archive(base, "zip", package.parent, package.name))
+    sc._tunewright_shipped = True
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
@@ -61,3 +76,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: the plan restarts from files in the shared folder."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+LOCAL_ROWS = 10_000
+
+
+def settle(df: DataFrame) -> DataFrame:
+    """Compute a table that is usually small once, instead of in every step that reads it.
+
+    Up to ``LOCAL_ROWS`` rows it becomes a local relation; a larger one is checkpointed.
+    """
+    rows = df.limit(LOCAL_ROWS + 1).collect()
+    if len(rows) <= LOCAL_ROWS:
+        return df.sparkSession.createDataFrame(rows, df.schema)
+    return cut_lineage(df)
