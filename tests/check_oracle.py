@@ -39,9 +39,11 @@ def canonical(v):
 
 def compare(spark, con, name, fn, sql, sf_dir) -> str | None:
     """None if equal, else what differs."""
+    start = time.time()
     df = fn(spark, sf_dir)
     names = sorted(df.columns)
     left = sorted(tuple(canonical(r[c]) for c in names) for r in df.collect())
+    print(f"  {time.time() - start:5.2f}s in Spark ", end="")
     cur = con.execute(sql)
     cols = [d[0] for d in cur.description]
     if sorted(cols) != names:

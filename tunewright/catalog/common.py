@@ -65,15 +65,15 @@ def hash_sql(key: str, seed: int = 42) -> str:
 
 def embed_sql(src: str, out: str) -> str:
     """CTEs that embed ``src(id, text)`` into ``out(id, v)`` like the built-in embedder."""
-    return f"""{out}_t AS (
+    return f"""{out}_t AS MATERIALIZED (
   SELECT id, md5(t) AS h FROM (
     SELECT id, unnest(regexp_split_to_array(lower(coalesce(text, '')), '[^\\p{{L}}\\p{{N}}]+')) AS t
     FROM {src}) WHERE t <> ''),
-{out}_b AS (
+{out}_b AS MATERIALIZED (
   SELECT id, CAST('0x' || substr(h, 1, 4) AS INT) % 64 AS b,
          sum(CASE WHEN substr(h, 5, 1) < '8' THEN 1.0 ELSE -1.0 END) AS w
   FROM {out}_t GROUP BY 1, 2),
-{out} AS (
+{out} AS MATERIALIZED (
   SELECT s.id, list(CAST(coalesce(b.w, 0) AS DOUBLE) ORDER BY r.b) AS v
   FROM {src} s CROSS JOIN (SELECT unnest(range(64)) AS b) r
   LEFT JOIN {out}_b b ON b.id = s.id AND b.b = r.b GROUP BY s.id)"""
@@ -81,7 +81,7 @@ def embed_sql(src: str, out: str) -> str:
 
 def unit_sql(src: str, out: str, seed: int = 42) -> str:
     """CTE with order hash and unit vector of ``src(id, v)``."""
-    return f"""{out} AS (
+    return f"""{out} AS MATERIALIZED (
   SELECT id, {hash_sql("id", seed)} AS h,
          list_transform(v, lambda x: x / CASE WHEN list_inner_product(v, v) = 0 THEN 1
                                          ELSE sqrt(list_inner_product(v, v)) END) AS v
@@ -104,8 +104,8 @@ EMBEDDINGS_SQL = (
 
 def greedy_sql(src: str, threshold: float, out: str) -> str:
     """CTEs for the sequential near-duplicate rule on ``src(id, h, v)``: one row per step."""
-    return f"""{out}_r AS (SELECT id, h, v, row_number() OVER (ORDER BY h) AS i FROM {src}),
-{out}_a AS (
+    return f"""{out}_r AS MATERIALIZED (SELECT id, h, v, row_number() OVER (ORDER BY h) AS i FROM {src}),
+{out}_a AS MATERIALIZED (
   SELECT y.i, coalesce(list(x.i) FILTER (WHERE x.i IS NOT NULL), []) AS near
   FROM {out}_r y LEFT JOIN {out}_r x
     ON x.i < y.i AND round(list_inner_product(x.v, y.v), 9) >= {threshold} GROUP BY y.i),
@@ -114,7 +114,7 @@ def greedy_sql(src: str, threshold: float, out: str) -> str:
   UNION ALL
   SELECT a.i, CASE WHEN list_has_any(s.kept, a.near) THEN s.kept ELSE list_append(s.kept, a.i) END
   FROM {out}_s s JOIN {out}_a a ON a.i = s.i + 1),
-{out} AS (
+{out} AS MATERIALIZED (
   SELECT r.id, r.h, r.v FROM {out}_r r
   WHERE r.i IN (SELECT unnest(kept) FROM (SELECT kept FROM {out}_s ORDER BY i DESC LIMIT 1)))"""
 

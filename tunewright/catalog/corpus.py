@@ -24,7 +24,7 @@ from tunewright.operators import rank, templates, tokens
 from tunewright.operators import sample as sm
 from tunewright.operators import split as sp
 from tunewright.plans import data_prep
-from tunewright.session import scratch_path
+from tunewright.session import scratch_path, spread
 from tunewright.sources import sinks, tables
 from tunewright.specs import (
     DEFAULT_SYSTEM_PROMPT,
@@ -509,7 +509,7 @@ SELECT doc_id, array_to_string(w[1:128], ' ') AS joined, least(len(w), 128)::INT
        len(w) > 128 AS was_truncated FROM t""",
 )
 def tokenize(spark, sf):
-    t = tokens.tokenize(table(spark, sf, "documents"), "text", 128, keep=("doc_id",))
+    t = tokens.tokenize(spread(table(spark, sf, "documents")), "text", 128, keep=("doc_id",))
     return t.select(
         "doc_id", F.array_join("tokens", " ").alias("joined"), "n_tokens", "was_truncated"
     )

@@ -38,7 +38,7 @@ def tracking_events(spark, sf):
         .alias("value"),
         F.when(F.col("kind") == "metric", F.when(F.col("k") != 7, F.col("value"))).alias("num"),
         F.when(F.col("k") >= 10, F.col("k")).alias("step"),
-        (F.unix_micros("ts") / F.lit(1e6)).alias("ts"),
+        F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01', ts) / 1e6D").alias("ts"),
         F.col("event_id").alias("seq"),
     )
 
@@ -315,7 +315,10 @@ def model_catalogue(spark, sf):
         F.when(size >= 10, F.col("p_name")).otherwise("").alias("base_model"),
         F.when(
             size < 25,
-            F.date_format(F.timestamp_seconds(1704067200 + F.col("p_partkey")), "yyyy-MM-dd'T'HH:mm:ss'+00:00'"),
+            F.expr(
+                "date_format(TIMESTAMP_NTZ'2024-01-01' + make_dt_interval(0, 0, 0, p_partkey),"
+                " \"yyyy-MM-dd'T'HH:mm:ss'+00:00'\")"
+            ),
         ).alias("training_date"),
         "p_partkey",
     ).write.json(path)

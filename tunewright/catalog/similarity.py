@@ -23,6 +23,7 @@ from tunewright.functions import vectors as vx
 from tunewright.operators import guard, near_dup, similarity_join
 from tunewright.operators import sample as sm
 from tunewright.operators.diversity import diverse_n
+from tunewright.session import spread
 from tunewright.specs import ANCHOR_PHRASES, REFUSAL_MESSAGE, GuardSpec, SampleSpec
 
 DOCS_SQL = "docs AS (SELECT doc_id AS id, text FROM documents)"
@@ -34,8 +35,8 @@ DOCS_SQL = "docs AS (SELECT doc_id AS id, text FROM documents)"
 SELECT id AS doc_id, unnest(v) AS x, unnest(range(64))::INT AS i FROM vec""",
 )
 def embed_text(spark, sf):
-    d = table(spark, sf, "documents").select("doc_id", em.embed(F.col("text")).alias("v"))
-    return d.select("doc_id", F.posexplode("v").alias("i", "x"))
+    d = spread(table(spark, sf, "documents")).select("doc_id", em.embed(F.col("text")).alias("v"))
+    return d.select("doc_id", F.posexplode_outer("v").alias("i", "x"))
 
 
 @query(
@@ -45,7 +46,7 @@ SELECT id AS vec_id, round(unnest(v), 6) AS x, unnest(range(64))::INT AS i FROM
 )
 def normalize(spark, sf):
     e = table(spark, sf, "embeddings").select("vec_id", vx.normalize(F.col("embedding")).alias("v"))
-    return e.select("vec_id", F.posexplode("v").alias("i", "x")).withColumn("x", F.round("x", 6))
+    return e.select("vec_id", F.posexplode_outer("v").alias("i", "x")).withColumn("x", F.round("x", 6))
 
 
 @query(
@@ -90,7 +91,7 @@ def near_duplicates_rounds(spark, sf):
 {greedy_sql("u", 0.95, "kept")} SELECT id AS doc_id FROM kept""",
 )
 def near_duplicate_documents(spark, sf):
-    d = table(spark, sf, "documents").select("doc_id", em.embed(F.col("text")).alias("v"))
+    d = spread(table(spark, sf, "documents")).select("doc_id", em.embed(F.col("text")).alias("v"))
     return near_dup.near_dup(d, "doc_id", "v", 0.95).select("doc_id")
 
 
@@ -119,7 +120,7 @@ QUALITY_SQL = f"""docs AS (
 
 @query("sample_quality", f"WITH RECURSIVE {QUALITY_SQL} SELECT id AS doc_id FROM far")
 def sample_quality(spark, sf):
-    d = table(spark, sf, "documents").select("doc_id", "lang", "text")
+    d = spread(table(spark, sf, "documents").select("doc_id", "lang", "text"))
     spec = SampleSpec(
         n=30, strategy="quality", text_columns=("lang", "text"), dedup_threshold=0.9
     )

@@ -55,7 +55,7 @@ def default_text_columns(df: DataFrame, explicit=None) -> list[str]:
 
 
 def split_words(c: Column, separator: str) -> Column:
-    return F.filter(F.split(c, separator), lambda t: t != "")
+    return F.array_remove(F.split(c, separator), "")
 
 
 def score_tokens(c: Column) -> Column:

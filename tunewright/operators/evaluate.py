@@ -90,7 +90,5 @@ def results_json(long: DataFrame) -> DataFrame:
         F.map_from_entries(F.sort_array(F.collect_list(F.struct("sub_metric", "value")))).alias("v")
     )
     return per_metric.agg(
-        F.map_from_entries(F.sort_array(F.collect_list(F.struct("metric", "v")))).alias(
-            "quantitative"
-        )
+        F.map_from_entries(F.collect_list(F.struct("metric", "v"))).alias("quantitative")
     ).select(F.to_json(F.struct("quantitative")).alias("value"))

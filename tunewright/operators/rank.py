@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 DIGITS = 4  # 65,536 buckets: 1e11 rows leave 1.5 million narrow rows in each
+BUCKET_ROWS = 1000  # below 65,536 buckets, about so many rows share one
 HASH = "_order_hash"
 BUCKET = "_order_bucket"
 
@@ -34,6 +35,14 @@ def order_hash(key: str | Sequence[str], seed: int) -> Column:
     return F.md5(F.concat_ws("|", F.lit(str(seed)), *parts))
 
 
+def digits_for(rows: int) -> int:
+    """Hex digits that give a table of this size enough buckets, and not many more."""
+    digits = 1
+    while digits < DIGITS and 16**digits * BUCKET_ROWS < rows:
+        digits += 1
+    return digits
+
+
 def bucket_of(h: Column, digits: int = DIGITS) -> Column:
     return F.substring(h, 1, digits)
 
@@ -132,13 +141,15 @@ def stratum_cuts(
     seed: int,
     wants: DataFrame,
     names: list[str],
+    strata: int,
     digits: int = DIGITS,
 ) -> DataFrame:
     """Per stratum, the order hash of the n-th row for each column of ``wants``.
 
-    ``wants`` holds the stratum and one count column per name. The result has the stratum and, under
-    each name, the cut (null where the count is below 1).
+    ``wants`` holds the stratum and one count column per name, ``strata`` its number of rows. The
+    result has the stratum and, under each name, the cut (null where the count is below 1).
     """
+    bounded = F.broadcast if strata * len(names) <= BROADCAST_ROWS else (lambda df: df)
     h = df.filter(F.col(f"`{stratum}`").isNotNull()).select(
         F.col(f"`{stratum}`").alias("_s"), order_hash(key, seed).alias(HASH)
     )
@@ -159,14 +170,14 @@ def stratum_cuts(
         ).alias("_t"),
     ).select("_s", "_t._name", "_t._want")
     crossing = (
-        counts.join(targets, "_s")
+        counts.join(bounded(targets), "_s")
         .filter("_lo < _want AND _want <= _hi")
         .select("_s", BUCKET, "_name", (F.col("_want") - F.col("_lo")).alias("_need"))
     )
     # (stratum, bucket) keeps a hot stratum spread over all buckets
     inside = W.partitionBy("_s", BUCKET, "_name").orderBy(HASH)
     cuts = (
-        h.join(crossing, ["_s", BUCKET])
+        h.join(bounded(crossing), ["_s", BUCKET])
         .withColumn("_place", F.row_number().over(inside))
         .filter("_place = _need")
         .groupBy("_s")

@@ -7,9 +7,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
 from tunewright.operators import rank
-from tunewright.session import settle
+from tunewright.session import LOCAL_ROWS, settle
 from tunewright.specs import SplitSpec
 
 NAMES = ("train", "val", "test")
@@ -32,27 +33,29 @@ def split_sizes(n: int, spec: SplitSpec) -> tuple[int, int, int]:
     return rest - n_val, n_val, n_test
 
 
-def largest_remainder(df: DataFrame, size: str, total: int, draws: int, out: str) -> DataFrame:
+def largest_remainder(
+    df: DataFrame, size: str, total: int, draws: int, out: str, classes: int
+) -> DataFrame:
     """Share ``draws`` among classes in proportion to ``size``: floors, then largest remainders.
 
-    Ties go to the lowest class. Remainders are ranked in 4,096 value ranges, so no task holds
-    all classes.
+    Ties go to the lowest class. Many classes are ranked in 4,096 ranges of their remainders, so
+    no task holds all of them.
     """
     exact = F.col(size) / F.lit(float(max(total, 1))) * F.lit(float(draws))
     floors = df.withColumn("_floor", F.floor(exact)).withColumn("_rest", exact - F.col("_floor"))
     given = floors.agg(F.sum("_floor")).first()[0] or 0
-    ranked = rank.bucketed_rank(
-        floors.withColumn("_band", F.floor((1 - F.col("_rest")) * 4096)),
-        "_band",
-        [F.col("_rest").desc(), F.col("_s").asc()],
-        "_rank",
-    )
+    order = [F.col("_rest").desc(), F.col("_s").asc()]
+    if classes <= LOCAL_ROWS:
+        ranked = floors.withColumn("_rank", F.row_number().over(W.orderBy(*order)))
+    else:
+        banded = floors.withColumn("_band", F.floor((1 - F.col("_rest")) * 4096))
+        ranked = rank.bucketed_rank(banded, "_band", order, "_rank").drop("_band")
     extra = F.when(F.col("_rank") <= draws - given, 1).otherwise(0)
-    return ranked.withColumn(out, F.col("_floor") + extra).drop("_floor", "_rest", "_band", "_rank")
+    return ranked.withColumn(out, F.col("_floor") + extra).drop("_floor", "_rest", "_rank")
 
 
-def class_quotas(df: DataFrame, column: str, spec: SplitSpec) -> tuple[DataFrame, int]:
-    """Per class the rows of test and of test + val; and the number of classes."""
+def class_quotas(df: DataFrame, column: str, spec: SplitSpec) -> tuple[DataFrame, int, int]:
+    """Per class the rows of test and of test + val; the number of classes; the row count."""
     classes = settle(df.groupBy(F.col(f"`{column}`").alias("_s")).agg(F.count("*").alias("_n")))
     facts = classes.agg(
         F.sum("_n").alias("n"),
@@ -69,15 +72,17 @@ def class_quotas(df: DataFrame, column: str, spec: SplitSpec) -> tuple[DataFrame
     for name, size in zip(NAMES, (n_train, n_val, n_test)):
         if size < facts.classes:
             raise ValueError(f"{name} split of {size} rows is smaller than {facts.classes} classes")
-    quotas = largest_remainder(classes, "_n", n, n_train + n_val, "_tv")
-    quotas = largest_remainder(quotas, "_tv", n_train + n_val, n_train, "_train")
+    quotas = largest_remainder(classes, "_n", n, n_train + n_val, "_tv", facts.classes)
+    quotas = largest_remainder(
+        quotas, "_tv", n_train + n_val, n_train, "_train", facts.classes
+    )
     test = F.col("_n") - F.col("_tv")
     quotas = quotas.select(
         F.col("_s").alias(column),
         test.alias("test"),
         (test + F.col("_tv") - F.col("_train")).alias("upto_val"),
     )
-    return settle(quotas), facts.classes
+    return settle(quotas), facts.classes, n
 
 
 def split(
@@ -98,9 +103,10 @@ def split(
         _, (test, val) = rank.global_cuts(df, key, spec.seed, wants)
         test_cut, val_cut = F.lit(test or ""), F.lit(val or "")
         return df.withColumn(out, _name(h, test_cut, val_cut))
-    quotas, classes = class_quotas(df, spec.stratify_column, spec)
+    quotas, classes, n = class_quotas(df, spec.stratify_column, spec)
+    wants = ["test", "upto_val"]
     cuts = rank.stratum_cuts(
-        df, spec.stratify_column, key, spec.seed, quotas, ["test", "upto_val"]
+        df, spec.stratify_column, key, spec.seed, quotas, wants, classes, rank.digits_for(n)
     ).withColumnsRenamed({"test": "_test_cut", "upto_val": "_val_cut"})
     joined = rank.attach(df, cuts, spec.stratify_column, classes, h)
     test_cut = F.coalesce("_test_cut", F.lit(""))

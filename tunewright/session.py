@@ -78,6 +78,15 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores for costly work per row on a table that arrives in few pieces.
+
+    A large table is read in more pieces than there are cores and is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 LOCAL_ROWS = 10_000
 
 
@@ -86,7 +95,7 @@ def settle(df: DataFrame) -> DataFrame:
 
     Up to ``LOCAL_ROWS`` rows it becomes a local relation; a larger one is checkpointed.
     """
-    rows = df.limit(LOCAL_ROWS + 1).collect()
-    if len(rows) <= LOCAL_ROWS:
+    rows = df.limit(LOCAL_ROWS + 1).toArrow()
+    if rows.num_rows <= LOCAL_ROWS:
         return df.sparkSession.createDataFrame(rows, df.schema)
     return cut_lineage(df)
