@@ -34,12 +34,15 @@ STEP4 = [
 ]
 
 
+_KINDS = {ord(c): "v" if c in "aeiou" else c if c == "y" else "c" for c in map(chr, range(128))}
+
+
 def _shape(stem: str) -> str:
-    """One letter per character: c(onsonant) or v(owel)."""
-    out = ""
-    for i, ch in enumerate(stem):
-        vowel = ch in "aeiou" or (ch == "y" and i > 0 and out[-1] == "c")
-        out += "v" if vowel else "c"
+    """One letter per character: c(onsonant) or v(owel). A y after a consonant is a vowel."""
+    out = stem.translate(_KINDS)
+    while "y" in out:
+        at = out.index("y")
+        out = out[:at] + ("v" if at and out[at - 1] == "c" else "c") + out[at + 1 :]
     return out
 
 

@@ -70,14 +70,15 @@ def words(c: Column) -> Column:
 
 def ngrams(tokens: Column, n: int) -> Column:
     """Runs of ``n`` tokens joined by one space."""
-    if n == 1:
-        return tokens
-    count = F.size(tokens) - (n - 1)
-    grams = F.transform(
-        F.sequence(F.lit(1), F.greatest(count, F.lit(1))),
-        lambda i: F.array_join(F.slice(tokens, i, n), " "),
-    )
-    return F.when(count > 0, grams).otherwise(F.array().cast("array<string>"))
+    grams = tokens
+    for k in range(2, n + 1):
+        count = F.greatest(F.size(tokens) - (k - 1), F.lit(0))
+        grams = F.zip_with(
+            F.slice(grams, 1, count),
+            F.slice(tokens, k, count),
+            lambda head, token: F.concat(head, F.lit(" "), token),
+        )
+    return grams
 
 
 def truthy(df: DataFrame, name: str) -> Column:

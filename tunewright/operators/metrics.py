@@ -53,14 +53,21 @@ def _tokens(pairs: DataFrame, stem: bool) -> DataFrame:
     return pairs.withColumns({"_p": p, "_r": r})
 
 
-def rouge_n_scores(pairs: DataFrame, key: str, n: int, stem: bool = True, out: str | None = None):
-    """ROUGE-n F1 per key.
+def _by_key(tokens: DataFrame, key: str) -> DataFrame:
+    """Hash partition token arrays by key, once.
 
-    Both texts of a pair are in one row, so the pairs are hash partitioned by key once and the
-    counts per (key, n-gram) and per key aggregate in place: n-grams are never shuffled.
+    Both texts of a pair are in one row, so after this the counts per (key, n-gram) and per key
+    aggregate in place: n-grams, far larger than the texts, are never shuffled. It comes after the
+    Python steps, which would hide the partitioning from the planner.
     """
+    parts = int(tokens.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return tokens.repartition(parts, key)
+
+
+def rouge_n_scores(pairs: DataFrame, key: str, n: int, stem: bool = True, out: str | None = None):
+    """ROUGE-n F1 per key."""
     out = out or f"rouge{n}"
-    tokens = _tokens(pairs.select(key, "prediction", "reference").repartition(key), stem)
+    tokens = _by_key(_tokens(pairs, stem).select(key, "_p", "_r"), key)
     grams = tokens.select(
         key,
         F.explode_outer(
@@ -114,8 +121,8 @@ def rouge_scores(pairs: DataFrame, key: str, stem: bool = True) -> DataFrame:
     One pass: tokens are made once, ROUGE-L is computed before the n-grams are spread out and
     rides along, and everything stays in the partitioning by key.
     """
-    tokens = _tokens(pairs.select(key, "prediction", "reference").repartition(key), stem)
-    base = tokens.withColumn("_l", _f1(_lcs("_p", "_r"), F.size("_p"), F.size("_r")))
+    longest = _f1(_lcs("_p", "_r"), F.size("_p"), F.size("_r")).alias("_l")
+    base = _by_key(_tokens(pairs, stem).select(key, "_p", "_r", longest), key)
 
     def side(n: int, source: str, p: int) -> Column:
         return F.struct(

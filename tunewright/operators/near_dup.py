@@ -34,7 +34,7 @@ from tunewright.operators.similarity_join import (
 from tunewright.session import cut_lineage
 
 SWEEPS = 3
-SWEEP_ROWS = 2048
+SWEEP_ROWS = 4096
 
 
 def greedy_batch(x: np.ndarray, threshold: float) -> np.ndarray:
@@ -97,20 +97,20 @@ def near_dup(
     kept: list[str] = []
     finished = False
     for _ in range(sweeps):
-        batch = alive.orderBy(HASH).limit(sweep_rows).collect()
-        if batch:
-            x = np.array([r["_v"] for r in batch])
+        batch = alive.orderBy(HASH).limit(sweep_rows).toArrow()
+        if batch.num_rows:
+            names, x = batch.column(HASH).to_pylist(), to_matrix(batch.column("_v"))
             mask = greedy_batch(x, threshold)
-            kept += [r[HASH] for r, k in zip(batch, mask) if k]
-            alive = alive.filter(F.col(HASH) > batch[-1][HASH]).filter(_apart(x[mask], threshold))
-        if len(batch) < sweep_rows:
+            kept += [h for h, k in zip(names, mask) if k]
+            alive = alive.filter(F.col(HASH) > names[-1]).filter(_apart(x[mask], threshold))
+        if batch.num_rows < sweep_rows:
             finished = True
             break
-    survivors = spark.createDataFrame([(h,) for h in kept], f"{HASH} string")
+    survivors = spark.createDataFrame(pa.table({HASH: pa.array(kept, pa.string())}))
     if not finished:
         rest = cut_lineage(alive)
         dropped = drop_by_rounds(edges(rest, rest.count(), threshold, block))
         survivors = survivors.unionByName(rest.select(HASH).join(dropped, HASH, "left_anti"))
-    survivors = cut_lineage(survivors)
+        survivors = cut_lineage(survivors)
     base.unpersist()
     return df.withColumn(HASH, order_hash(key, seed)).join(survivors, HASH, "left_semi").drop(HASH)

@@ -78,7 +78,7 @@ def _members(rows: DataFrame, total: int, threshold: float, block: int):
     cells = min(MAX_CELLS, total // block)
     if cells < 2 or threshold <= 0:
         return single, {0: total}
-    pivots = np.array([r["_v"] for r in rows.orderBy(HASH).limit(cells).collect()])
+    pivots = to_matrix(rows.orderBy(HASH).limit(cells).toArrow().column("_v"))
     theta = float(np.arccos(np.clip(threshold, -1.0, 1.0)))
     placed = rows.withColumn("_cells", _visits(pivots, theta))
     members = placed.select(
