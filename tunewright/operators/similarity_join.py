@@ -21,10 +21,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tunewright.functions.vectors import normalize, to_matrix
+from tunewright.operators.diversity import greedy_local
 from tunewright.operators.rank import HASH, as_list, order_hash
 
 BLOCK = 4096
 MAX_CELLS = 256
+PIVOT_SAMPLE = 4096
 DECIMALS = 9  # cosines are compared at nine decimals
 SLACK = 1e-6  # widens the angle limit against rounding
 
@@ -78,7 +80,9 @@ def _members(rows: DataFrame, total: int, threshold: float, block: int):
     cells = min(MAX_CELLS, total // block)
     if cells < 2 or threshold <= 0:
         return single, {0: total}
-    pivots = to_matrix(rows.orderBy(HASH).limit(cells).toArrow().column("_v"))
+    # pivots far from each other, out of a seeded sample: every cluster of some size gets one
+    sample = to_matrix(rows.orderBy(HASH).limit(PIVOT_SAMPLE).toArrow().column("_v"))
+    pivots = sample[greedy_local(sample, cells)]
     theta = float(np.arccos(np.clip(threshold, -1.0, 1.0)))
     placed = rows.withColumn("_cells", _visits(pivots, theta))
     members = placed.select(
