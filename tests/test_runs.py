@@ -65,7 +65,16 @@ def test_tracking_sink(spark, events, tmp_path):
     sinks.write_tracking(events, str(tmp_path))
     history = tables.read_tracking(spark, str(tmp_path), "metrics")
     assert history.count() == 8
-    assert track.current(history, ["run_id", "key", "step"]).count() == 3
+    assert tables.current_tracking(spark, str(tmp_path), "metrics").count() == 3
+    assert tables.current_tracking(spark, str(tmp_path), "params").count() == 2
+
+
+def test_a_run_may_end_in_a_later_batch(spark, events, tmp_path):
+    sinks.write_tracking(events.filter("kind <> 'end'"), str(tmp_path), "orc")
+    assert {r.status for r in tables.current_tracking(spark, str(tmp_path), "runs", "orc").collect()} == {"running"}
+    sinks.write_tracking(events.filter("kind = 'end'"), str(tmp_path), "orc")
+    out = tables.current_tracking(spark, str(tmp_path), "runs", "orc")
+    assert {r.run_id: r.status for r in out.collect()} == {"abcdefgh-1": "finished", "run-2": "running"}
 
 
 def test_flatten_config(spark):
@@ -180,7 +189,7 @@ def test_whole_run(spark, tmp_path):
         "train": 40, "val": 5, "test": 5,
     }
     assert prepared.first().formatted_text.startswith("### Instruction:\nExplain item")
-    stored = data_prep.run(spark, data, store=True)
+    stored = data_prep.run(spark, data, keep=False)
     assert rows(stored, "id", "split") == rows(prepared, "id", "split")
     prompts = spark.createDataFrame([("What is a bond?",)], "prompt string")
     out = whole_run.run(

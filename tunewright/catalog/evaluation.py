@@ -205,9 +205,29 @@ def rouge(spark, sf):
     return metrics.rouge(_pairs(spark, sf), "id")
 
 
-@query("rouge_l_scores")
+@query(
+    "rouge_l_scores",
+    f"""WITH RECURSIVE {PAIRS_SQL},
+toks AS MATERIALIZED (
+  SELECT id, list_filter(regexp_split_to_array(lower(prediction), '[^a-z0-9]+'),
+                         lambda x: x <> '') AS p,
+         list_filter(regexp_split_to_array(lower(reference), '[^a-z0-9]+'),
+                     lambda x: x <> '') AS r FROM pairs),
+lcs AS (
+  SELECT id, 0 AS i, list_transform(p, lambda x: 0) AS line FROM toks
+  UNION ALL
+  SELECT id, i + 1, list_transform(range(1, len(c) + 1), lambda j: list_max(c[1:j])) FROM (
+    SELECT l.id, l.i, list_transform(range(1, len(t.p) + 1), lambda j: CASE
+      WHEN t.p[j] = t.r[l.i + 1] THEN CASE WHEN j > 1 THEN l.line[j - 1] ELSE 0 END + 1
+      ELSE l.line[j] END) AS c
+    FROM lcs l JOIN toks t ON t.id = l.id WHERE l.i < len(t.r)))
+SELECT toks.id, round(CASE WHEN len(p) = 0 OR len(r) = 0 THEN 0.0
+  ELSE 2.0 * list_max(line) / (len(p) + len(r)) END, 6) AS "rougeL"
+FROM toks JOIN lcs ON lcs.id = toks.id AND lcs.i = len(r)""",
+)
 def rouge_l_scores(spark, sf):
-    return metrics.rouge_l_scores(_pairs(spark, sf), "id")
+    s = metrics.rouge_l_scores(_pairs(spark, sf), "id", stem=False)
+    return s.withColumn("rougeL", F.round("rougeL", 6))
 
 
 # BERTScore --------------------------------------------------------------------------------------

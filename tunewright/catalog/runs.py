@@ -131,14 +131,15 @@ def events_current(spark, sf):
     "tracking_tables",
     f"""WITH {EVENTS_SQL}
 SELECT 'runs' AS name, count(*) AS n FROM starts
-UNION ALL SELECT 'params', count(*) FROM ph UNION ALL SELECT 'metrics', count(*) FROM mh""",
+UNION ALL SELECT 'params', count(DISTINCT (run_id, key)) FROM ph
+UNION ALL SELECT 'metrics', count(*) FROM mc""",
 )
 def tracking_tables(spark, sf):
-    """Write the run tables and read them back."""
+    """Write the run histories and read the current tables."""
     path = scratch_path(spark, "tracking")
     sinks.write_tracking(tracking_events(spark, sf), path)
     counts = [
-        tables.read_tracking(spark, path, t).agg(F.lit(t).alias("name"), F.count("*").alias("n"))
+        tables.current_tracking(spark, path, t).agg(F.lit(t).alias("name"), F.count("*").alias("n"))
         for t in ("runs", "params", "metrics")
     ]
     return counts[0].unionByName(counts[1]).unionByName(counts[2])

@@ -54,7 +54,10 @@ def hashed(c: Column, dim: int = DEFAULT_DIM) -> Column:
 
 
 def embed(c: Column, factory: EmbedderFactory | None = None, dim: int = DEFAULT_DIM) -> Column:
-    """Embed a text column with a caller's model, or with the built-in one."""
+    """Embed a text column with a caller's model, or with the built-in one.
+
+    A model counts as non-deterministic, so the optimizer does not copy the call into filters.
+    """
     if factory is None:
         return hashed(c, dim)
 
@@ -65,7 +68,7 @@ def embed(c: Column, factory: EmbedderFactory | None = None, dim: int = DEFAULT_
             texts = ["" if t is None else t for t in batch.to_pylist()]
             yield from_matrix(np.asarray(model(texts), dtype=np.float64))
 
-    return encode(c)
+    return encode.asNondeterministic()(c)
 
 
 def embed_phrases(

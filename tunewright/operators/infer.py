@@ -21,7 +21,11 @@ def predicted(
     prompt: Column, factory: PredictorFactory, batch_size: int = 8, max_new_tokens: int = 256
 ) -> Column:
     """Model output per prompt. The model is made once per task and sees ``batch_size`` prompts at
-    a time; null prompts never reach it and give null."""
+    a time; null prompts never reach it and give null.
+
+    Marked non-deterministic so that a later filter or generator cannot make the optimizer copy the
+    call and run the model twice.
+    """
 
     @F.arrow_udf("string")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -37,7 +41,7 @@ def predicted(
                     out[i] = answer
             yield pa.array(out, pa.string())
 
-    return run(prompt)
+    return run.asNondeterministic()(prompt)
 
 
 def predict(

@@ -92,7 +92,7 @@ def near_dup(
         return df
     spark = df.sparkSession
     rows = unit_vectors(df, key, vec, seed)
-    alive = collapse_copies(rows).persist(StorageLevel.MEMORY_AND_DISK)
+    alive = collapse_copies(rows).drop("_n").persist(StorageLevel.MEMORY_AND_DISK)
     base = alive
     kept: list[str] = []
     finished = False

@@ -16,13 +16,13 @@ from collections.abc import Sequence
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tunewright.functions.vectors import normalize, to_matrix
 from tunewright.operators.diversity import greedy_local
 from tunewright.operators.rank import HASH, as_list, order_hash
+from tunewright.session import cut_lineage
 
 BLOCK = 4096
 MAX_CELLS = 256
@@ -55,11 +55,27 @@ def collapse_copies(rows: DataFrame) -> DataFrame:
     apart = F.when(zero, F.col(HASH)).otherwise(F.lit(""))
     return (
         rows.groupBy(F.xxhash64("_v", apart).alias("_k"), apart.alias("_z"), "_v")
-        .agg(F.min(HASH).alias(HASH))
-        .select(HASH, "_v")
+        .agg(F.min(HASH).alias(HASH), F.count("*").alias("_n"))
+        .select(HASH, "_v", "_n")
     )
 
 
+def _copies(rows: DataFrame, first: DataFrame, total: int) -> DataFrame:
+    """``(a, b)``: the first row of each vector and its copies.
+
+    Vectors that hold more than a thousandth of the rows are fewer than a thousand: they are
+    broadcast. What is left has no hot vector and is joined by shuffle.
+    """
+    multi = first.filter("_n > 1").select(F.col(HASH).alias("a"), "_v", "_n")
+    share = max(1, total // 1000)
+    hot = F.broadcast(multi.filter(F.col("_n") > share).drop("_n"))
+    cold = multi.filter(F.col("_n") <= share).drop("_n")
+    pairs = rows.join(hot, "_v").unionByName(
+        rows.join(hot.select("_v"), "_v", "left_anti").join(cold, "_v")
+    )
+    return pairs.filter(F.col("a") < F.col(HASH)).select("a", F.col(HASH).alias("b"))
+
+
 def _visits(pivots: np.ndarray, theta: float):
     @F.arrow_udf("array<int>")
     def visits(v: pa.Array) -> pa.Array:
@@ -151,13 +167,12 @@ def similar_pairs(
     """
     names = as_list(key)
     rows = unit_vectors(df, key, vec, seed)
-    first = collapse_copies(rows).persist(StorageLevel.MEMORY_AND_DISK)
-    pairs = edges(first, first.count(), threshold, block)
+    first = cut_lineage(collapse_copies(rows))
+    distinct, total = first.agg(F.count("*"), F.coalesce(F.sum("_n"), F.lit(0))).first()
+    pairs = edges(first.drop("_n"), distinct, threshold, block)
     if threshold <= 1:
-        by_vector = first.select(F.col(HASH).alias("a"), "_v")
-        copies = rows.join(by_vector, "_v").filter(F.col("a") < F.col(HASH))
-        copies = copies.filter(F.exists("_v", lambda x: x != 0))
-        pairs = pairs.unionByName(copies.select("a", F.col(HASH).alias("b"), F.lit(1.0).alias("cosine")))
+        copies = _copies(rows, first, total).withColumn("cosine", F.lit(1.0))
+        pairs = pairs.unionByName(copies)
     ids = df.select(order_hash(key, seed).alias(HASH), *names)
     for side in ("a", "b"):
         renamed = ids.select(

@@ -63,6 +63,11 @@ def runs(events: DataFrame) -> DataFrame:
     )
 
 
+def run_history(events: DataFrame) -> DataFrame:
+    """Start and end events. Stored as they are, so a run may end in a later batch."""
+    return events.filter(_of("start") | _of("end"))
+
+
 def artifact_key(path: Column) -> Column:
     return F.concat(F.lit("artifact:"), F.substring_index(F.rtrim(path, F.lit("/")), "/", -1))
 

@@ -12,7 +12,7 @@ from tunewright.operators import prompt as pr
 from tunewright.operators import sample as sm
 from tunewright.operators import split as sp
 from tunewright.operators import templates
-from tunewright.session import cut_lineage
+from tunewright.session import store
 from tunewright.sources import tables
 from tunewright.specs import DataSpec, PromptSpec
 
@@ -24,12 +24,14 @@ def prompt_spec(spec: DataSpec) -> PromptSpec:
 
 
 def prepare(
-    df: DataFrame, spec: DataSpec, embedder: EmbedderFactory | None = None, store: bool = False
+    df: DataFrame, spec: DataSpec, embedder: EmbedderFactory | None = None,
+    keep: bool | None = None,
 ) -> DataFrame:
     """Sample, clean, split and format; the result has ``split`` and the prompt column.
 
-    The split reads the cleaned keys twice to place its cuts. ``store`` writes the cleaned table to
-    the shared folder first: worth it where cleaning is dear (deduplication of a large table).
+    The split reads the cleaned keys to place its cuts. ``keep`` writes the cleaned table to the
+    shared folder first, so that those passes read one column of it; by default this is done where
+    cleaning removes duplicates, which would otherwise be shuffled for every pass.
     """
     if spec.sample_after_clean:
         df = cl.clean(df, spec.clean, spec.key)
@@ -37,14 +39,14 @@ def prepare(
     else:
         df = sm.downsample(df, spec.sample, spec.key, embedder)
         df = cl.clean(df, spec.clean, spec.key)
-    if store:
-        df = cut_lineage(df)
+    if spec.clean.drop_duplicates if keep is None else keep:
+        df = store(df, "cleaned")
     return pr.format_prompts(sp.split(df, spec.split_spec, spec.key), prompt_spec(spec))
 
 
 def run(
     spark: SparkSession, spec: DataSpec, embedder: EmbedderFactory | None = None,
-    store: bool = False,
+    keep: bool | None = None,
 ) -> DataFrame:
     df = tables.load(spark, spec.path, spec.fmt, spec.split, spec.split_column)
-    return prepare(df, spec, embedder, store)
+    return prepare(df, spec, embedder, keep)

@@ -78,6 +78,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def store(df: DataFrame, name: str) -> DataFrame:
+    """Write a wide table to the shared folder and go on from there.
+
+    Unlike a checkpoint it is columnar and compressed, and later passes read only the columns they
+    need.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Use all cores for costly work per row on a table that arrives in few pieces.
 

@@ -29,14 +29,17 @@ def write_splits(df: DataFrame, path: str, out: str = "split") -> None:
 
 
 def write_tracking(events: DataFrame, base: str, backend: str = "parquet") -> None:
-    """Append an event batch to the run tables. Backend ``none`` writes nothing."""
+    """Append an event batch to the histories ``runs``, ``params`` and ``metrics``.
+
+    Backend ``none`` writes nothing. ``tables.current_tracking`` reads the resolved tables.
+    """
     if backend == "none":
         return
     if backend not in ("parquet", "orc"):
         raise ValueError(f"Unknown tracking backend: {backend!r}")
     root = base.rstrip("/")
     tables = {
-        "runs": track.runs(events),
+        "runs": track.run_history(events),
         "params": track.param_history(events),
         "metrics": track.metric_history(events),
     }

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tunewright.operators import track
+
 # The fields of a training log line, of stored results and of model metadata.
 LOG_FIELDS = (
     "epoch", "loss", "grad_norm", "learning_rate", "train_runtime", "train_samples_per_second",
@@ -68,6 +70,19 @@ def models(spark: SparkSession, glob: str, model_name: str | None = None) -> Dat
     return describe_models(raw.withColumn("file", F.input_file_name()), model_name)
 
 
-def read_tracking(spark: SparkSession, base: str, table: str) -> DataFrame:
+def read_tracking(
+    spark: SparkSession, base: str, table: str, backend: str = "parquet"
+) -> DataFrame:
     """``runs``, ``params`` or ``metrics`` history."""
-    return spark.read.parquet(f"{base.rstrip('/')}/{table}")
+    return spark.read.format(backend).load(f"{base.rstrip('/')}/{table}")
+
+
+def current_tracking(
+    spark: SparkSession, base: str, table: str, backend: str = "parquet"
+) -> DataFrame:
+    """The last write per key of a history; for ``runs`` one row per started run."""
+    history = read_tracking(spark, base, table, backend)
+    if table == "runs":
+        return track.runs(history)
+    keys = ["run_id", "key", "step"] if table == "metrics" else ["run_id", "key"]
+    return track.current(history, keys)
