@@ -50,8 +50,11 @@ def dedup_exact(
         return df.dropDuplicates()
     if key is None:
         raise ValueError("dedup on some of the columns needs a key to define the first row")
-    place = F.struct(*[F.col(f"`{k}`") for k in as_list(key)])
     rest = [c for c in df.columns if c not in names]
+    if rest == as_list(key) and len(rest) == 1:
+        # only the key is left over: a plain minimum, which hashes instead of sorting
+        return df.groupBy(*names).agg(F.min(rest[0]).alias(rest[0])).select(*df.columns)
+    place = F.struct(*[F.col(f"`{k}`") for k in as_list(key)])
     first = F.min_by(F.struct(*[F.col(f"`{c}`") for c in rest]), place).alias("_first")
     by = [F.xxhash64(*[F.col(f"`{c}`") for c in names]).alias("_h"), *[F.col(f"`{c}`") for c in names]]
     grouped = df.groupBy(*by).agg(first)
