@@ -22,7 +22,7 @@ from tunewright.functions import text as tx
 from tunewright.operators import evaluate as ev
 from tunewright.operators import infer, metrics, report
 from tunewright.operators import prompt as pr
-from tunewright.session import scratch_path
+from tunewright.session import scratch_path, spread
 from tunewright.sources import sinks, tables
 from tunewright.specs import INPUT_TEMPLATE, REFUSAL_MESSAGE, EvalSpec
 
@@ -34,7 +34,7 @@ def echo():
 
 
 def _pairs(spark, sf):
-    return chat_pairs(spark, sf).select(
+    return spread(chat_pairs(spark, sf)).select(
         "id", F.col("instruction").alias("prediction"), F.col("output").alias("reference"), "turn"
     )
 
@@ -191,7 +191,7 @@ FROM f1 JOIN f2 ON f2.id = f1.id""",
 def rouge_documents(spark, sf):
     """Every document against a benchmark item."""
     b = table(spark, sf, "benchmark")
-    d = table(spark, sf, "documents").withColumn("item_id", F.col("doc_id") % b.count())
+    d = spread(table(spark, sf, "documents")).withColumn("item_id", F.col("doc_id") % b.count())
     pairs = d.join(b.withColumnRenamed("text", "reference"), "item_id").select(
         F.col("doc_id").alias("id"), F.col("text").alias("prediction"), "reference"
     )

@@ -13,6 +13,7 @@ from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -90,6 +91,8 @@ def rouge_n_scores(pairs: DataFrame, key: str, n: int, stem: bool = True, out: s
 def lcs_length(a: list, b: list) -> int:
     """Length of the longest common subsequence; one machine word handles 64 cells
     (Hyyro 2004)."""
+    if len(a) > len(b):
+        a, b = b, a
     where: dict = {}
     for i, token in enumerate(a):
         where[token] = where.get(token, 0) | (1 << i)
@@ -104,7 +107,20 @@ def lcs_length(a: list, b: list) -> int:
 
 @F.arrow_udf(T.IntegerType())
 def _lcs(p: pa.Array, r: pa.Array) -> pa.Array:
-    return pa.array([lcs_length(a, b) for a, b in zip(p.to_pylist(), r.to_pylist())], pa.int32())
+    """Tokens become numbers, and those that the other text of the pair lacks are left out."""
+    if not len(p):
+        return pa.array([], pa.int32())
+    coded = pa.concat_arrays([p.flatten(), r.flatten()]).dictionary_encode()
+    codes, words = coded.indices.to_numpy(), len(coded.dictionary)
+    rows = [pc.list_parent_indices(side).to_numpy() for side in (p, r)]
+    sides = np.split(codes, [len(rows[0])])
+    keys = [row * words + code for row, code in zip(rows, sides)]
+    shared = []
+    for mine, other in ((0, 1), (1, 0)):
+        keep = np.isin(keys[mine], keys[other])
+        ends = np.bincount(rows[mine][keep], minlength=len(p)).cumsum()
+        shared.append([x.tolist() for x in np.split(sides[mine][keep], ends[:-1])])
+    return pa.array([lcs_length(a, b) for a, b in zip(*shared)], pa.int32())
 
 
 def rouge_l_scores(pairs: DataFrame, key: str, stem: bool = True, out: str = "rougeL"):
