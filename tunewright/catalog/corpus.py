@@ -517,7 +517,7 @@ def tokenize(spark, sf):
 
 @query("stem_vocabulary")
 def stem_vocabulary(spark, sf):
-    d = table(spark, sf, "documents")
+    d = spread(table(spark, sf, "documents"))
     return stem_vocab(d, tx.score_tokens(F.col("text")))
 
 

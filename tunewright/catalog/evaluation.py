@@ -353,7 +353,7 @@ def refusal_rows_sql(keep: str, where: str) -> str:
 
 
 def _refusals(spark, sf):
-    d = labelled(spark, sf)
+    d = spread(labelled(spark, sf))
     refuses = (F.col("toxic") == 1) | ((F.col("quality") == 0) & (F.col("n_chars") > 500))
     d = d.withColumn("q", F.coalesce("quality", F.lit(1)))
     return d.select(

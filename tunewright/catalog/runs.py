@@ -280,9 +280,9 @@ def stream_prompts(spark, sf):
   SELECT event_id::VARCHAR AS run_id, event_type, value, CAST(json_extract_string(props, '$.k') AS INT) AS k
   FROM events)
 SELECT run_id, 'model.name' AS key, '"' || event_type || '"' AS value FROM c
-UNION ALL SELECT run_id, 'model.lora', '{"r":' || k || '}' FROM c
+UNION ALL SELECT run_id, 'model.lora', '{"r": ' || k || '}' FROM c
 UNION ALL SELECT run_id, 'seed', CAST(k AS VARCHAR) FROM c
-UNION ALL SELECT run_id, 'data', '{"k":' || k || '}' FROM c""",
+UNION ALL SELECT run_id, 'data', '{"k": ' || k || '}' FROM c""",
 )
 def flatten_config(spark, sf):
     """Config objects built from every event: one nested object, one leaf object, one number."""

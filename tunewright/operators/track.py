@@ -18,8 +18,10 @@ combines on the map side, so a run with a third of all events is no problem.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -166,42 +168,32 @@ def summary(events: DataFrame) -> DataFrame:
     return metric_history(events).groupBy("run_id").agg(latest("train_loss"), latest("eval_loss"))
 
 
+CELLS = pa.list_(pa.struct([("key", pa.string()), ("value", pa.string())]))
+
+
+def _cells(node: dict, prefix: str = "") -> Iterator[dict[str, str]]:
+    """Leaves of a nested object. An object is opened only if it holds an object."""
+    for name, value in node.items():
+        if isinstance(value, dict) and any(isinstance(v, dict) for v in value.values()):
+            yield from _cells(value, f"{prefix}{name}.")
+        else:
+            yield {"key": prefix + name, "value": json.dumps(value)}
+
+
 def flatten_config(
     configs: DataFrame, run_id: str = "run_id", column: str = "config_json"
 ) -> DataFrame:
     """Nested JSON objects as ``(run_id, key, value)`` with dotted keys and JSON values.
 
-    An object is opened only if it holds an object; otherwise it is one value. Each round opens one
-    level of all configs at once; levels end when nothing is left to open.
+    Whether an object is opened depends on the row, so no common schema is looked for: one pass,
+    any depth, a batch at a time.
     """
-    spark = configs.sparkSession
-    level = configs.select(
-        F.col(run_id).alias("run_id"),
-        F.lit("").alias("prefix"),
-        F.parse_json(F.col(column)).cast("map<string,variant>").alias("entries"),
-    ).filter("entries IS NOT NULL")
-    is_object = "schema_of_variant({}) LIKE 'OBJECT%'"
-    done = []
-    while True:
-        cells = level.select("run_id", "prefix", F.explode("entries").alias("k", "v")).select(
-            "run_id", F.concat("prefix", "k").alias("key"), "v"
-        )
-        kept = F.when(F.expr(is_object.format("v")), F.expr("cast(v as map<string,variant>)"))
-        cells = cells.withColumn("m", kept)
-        opens = F.coalesce(
-            F.exists(F.map_values("m"), lambda x: F.schema_of_variant(x).like("OBJECT%")),
-            F.lit(False),
-        )
-        cells = cells.withColumn("opens", opens)
-        done.append(
-            cells.filter("NOT opens").select("run_id", "key", F.to_json("v").alias("value"))
-        )
-        level = cells.filter("opens").select(
-            "run_id", F.concat("key", F.lit(".")).alias("prefix"), F.col("m").alias("entries")
-        )
-        if level.isEmpty():
-            break
-    out = done[0]
-    for part in done[1:]:
-        out = out.unionByName(part)
-    return out
+
+    @F.arrow_udf("array<struct<key:string,value:string>>")
+    def cells(batch: pa.Array) -> pa.Array:
+        return pa.array([list(_cells(json.loads(t) if t else {})) for t in batch.to_pylist()], CELLS)
+
+    flat = configs.select(F.col(run_id).alias("run_id"), cells(column).alias("_cells"))
+    return flat.select("run_id", F.explode_outer("_cells").alias("_c")).filter(
+        "_c IS NOT NULL"
+    ).select("run_id", "_c.key", "_c.value")
