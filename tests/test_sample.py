@@ -39,8 +39,27 @@ def test_first(spark):
 
 def test_first_beyond_the_heap_limit(hundred):
     for n in (1, 33, 99, 100, 150):
-        out = rank.first_by_columns(hundred.repartition(7), ["b", "id"], n, topk=0)
-        assert ids(out) == list(range(min(n, 100)))
+        for topk in (0, 999):
+            out = rank.first_by_columns(hundred.repartition(7), ["b", "id"], n, topk)
+            assert ids(out) == list(range(min(n, 100)))
+
+
+def test_first_with_nulls_and_dates(spark):
+    df = spark.createDataFrame(
+        [(1, None), (2, "2024-01-03"), (3, "2024-01-01"), (4, None), (5, "2024-01-02")], "id int, d string"
+    ).withColumn("d", F.to_date("d"))
+    expected = [[1], [1, 4], [1, 3, 4], [1, 3, 4, 5], [1, 2, 3, 4, 5]]
+    for n, want in enumerate(expected, 1):
+        assert ids(rank.first_by_columns(df, ["d", "id"], n)) == want
+
+
+def test_first_is_a_filter_on_the_scan(spark, tmp_path):
+    spark.range(5000).write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    plan = rank.first_by_columns(df, ["id"], 10)._jdf.queryExecution().executedPlan().toString()
+    assert "LessThanOrEqual(id,9)" in plan and "Exchange" not in plan
+    search = rank.smallest(df, ["id"], 10)._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in search
 
 
 def test_unknown_strategy(hundred):

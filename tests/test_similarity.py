@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tunewright.operators import guard, near_dup, similarity_join
+from tunewright.operators import diversity, guard, near_dup, similarity_join
 from tunewright.operators.diversity import diverse_n
 
 
@@ -84,8 +84,9 @@ def test_cells_are_used_where_they_pay(spark):
     rows.unpersist()
 
 
-@pytest.mark.parametrize("candidates", [2048, 7])
-def test_farthest_points_are_exact(vectors, seeded, candidates):
+@pytest.mark.parametrize(("candidates", "tree"), [(999, 10**9), (7, 10**9), (50, 0)])
+def test_farthest_points_are_exact(vectors, seeded, candidates, tree, monkeypatch):
+    monkeypatch.setattr(diversity, "TREE_ROWS", tree)
     df, x = vectors
     out = diverse_n(df, 30, "id", "v", pick_column="p", candidates=candidates).collect()
     got = [r.id for r in sorted(out, key=lambda r: r.p)]

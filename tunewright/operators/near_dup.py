@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tunewright.functions.vectors import to_matrix
-from tunewright.operators.rank import HASH, order_hash
+from tunewright.operators.rank import HASH, first_by_hash, order_hash
 from tunewright.operators.similarity_join import (
     BLOCK,
     collapse_copies,
@@ -93,16 +93,17 @@ def near_dup(
     spark = df.sparkSession
     rows = unit_vectors(df, key, vec, seed)
     alive = collapse_copies(rows).drop("_n").persist(StorageLevel.MEMORY_AND_DISK)
-    base = alive
+    base, total, last = alive, alive.count(), ""
     kept: list[str] = []
     finished = False
     for _ in range(sweeps):
-        batch = alive.orderBy(HASH).limit(sweep_rows).toArrow()
+        batch = first_by_hash(alive, sweep_rows, total, last)
         if batch.num_rows:
             names, x = batch.column(HASH).to_pylist(), to_matrix(batch.column("_v"))
             mask = greedy_batch(x, threshold)
             kept += [h for h, k in zip(names, mask) if k]
-            alive = alive.filter(F.col(HASH) > names[-1]).filter(_apart(x[mask], threshold))
+            last = names[-1]
+            alive = alive.filter(F.col(HASH) > last).filter(_apart(x[mask], threshold))
         if batch.num_rows < sweep_rows:
             finished = True
             break

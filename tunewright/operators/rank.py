@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
@@ -199,19 +200,67 @@ def attach(df: DataFrame, lookup: DataFrame, on: str, rows: int, spread: Column)
     return df.withColumn("_salt", salt).join(salted, [on, "_salt"], "left").drop("_salt")
 
 
-def first_by_columns(df: DataFrame, order: list[str], n: int, topk: int = 10_000) -> DataFrame:
+GROUP_LIMIT = 999  # up to here Spark keeps only n rows per group before the shuffle
+GROUPS = 256
+
+
+def smallest(df: DataFrame, order: list[str], n: int, tree: bool = True) -> DataFrame:
+    """The ``n`` smallest rows. As a tree: per task, then per group of tasks, then overall, so the
+    last task sees ``GROUPS * n`` rows however many tasks there are."""
+    if tree and n <= GROUP_LIMIT:
+        inside = W.partitionBy("_group").orderBy(*order)
+        df = (
+            df.withColumn("_group", F.spark_partition_id() % GROUPS)
+            .withColumn("_place", F.row_number().over(inside))
+            .filter(F.col("_place") <= n)
+            .drop("_group", "_place")
+        )
+    return df.orderBy(*order).limit(n)
+
+
+def first_by_hash(rows: DataFrame, n: int, total: int, after: str = "") -> pa.Table:
+    """The ``n`` rows with the lowest order hashes above ``after``, fetched to the driver.
+
+    Hashes are uniform, so a bound on them leaves about ``2 * n`` rows to sort. It is widened if
+    the rows have been thinned out.
+    """
+    start = int(after, 16) / 16**32 if after else 0.0
+    width = 2.0 * n / max(total, 1)
+    rows = rows.filter(F.col(HASH) > after)
+    while True:
+        upto = start + width
+        some = rows if upto >= 1 else rows.filter(F.col(HASH) < f"{int(upto * 16**32):032x}")
+        batch = some.orderBy(HASH).limit(n).toArrow()
+        if batch.num_rows == n or upto >= 1:
+            return batch
+        width *= 4
+
+
+def first_by_columns(
+    df: DataFrame, order: list[str], n: int, topk: int = GROUP_LIMIT
+) -> DataFrame:
     """The first ``n`` rows by plain columns, which must identify a row together.
 
-    Up to ``topk`` rows this is a top-k heap per task. Beyond, only the order columns are range
-    partitioned (and checkpointed, so that the ranges stand still); counts per range find the n-th
-    row and the rows are selected by comparison with it.
+    Only the order columns are searched for the n-th row; the rows are then selected by comparison
+    with it, a filter that reaches the scan. Up to ``topk`` rows the search is a top-k tree. Beyond,
+    the order columns are range partitioned (and checkpointed, so that the ranges stand still) and
+    counts per range tell where the n-th row is.
     """
+    place = F.struct(*[F.col(f"`{c}`") for c in order])
     if n <= topk:
-        return df.orderBy(*order).limit(n)
+        narrow = df.select(*[F.col(f"`{c}`") for c in order])
+        last = smallest(narrow, order, n).agg(F.count("*"), F.max(place)).first()
+        if last[0] < n:
+            return df
+        if n < 1:
+            return df.limit(0)
+        lead = F.col(f"`{order[0]}`")
+        fields = [F.lit(v).cast(df.schema[c].dataType).alias(c) for c, v in zip(order, last[1])]
+        near = lead.isNull() if last[1][0] is None else lead.isNull() | (lead <= F.lit(last[1][0]))
+        return df.filter(near & (place <= F.struct(*fields)))
     from tunewright.session import cut_lineage
 
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    place = F.struct(*[F.col(f"`{c}`") for c in order])
     ranged = cut_lineage(
         df.select(place.alias("_o"))
         .repartitionByRange(parts, "_o")

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from tunewright.functions.vectors import normalize, to_matrix
 from tunewright.operators.diversity import greedy_local
-from tunewright.operators.rank import HASH, as_list, order_hash
+from tunewright.operators.rank import HASH, as_list, first_by_hash, order_hash
 from tunewright.session import cut_lineage
 
 BLOCK = 4096
@@ -97,7 +97,7 @@ def _members(rows: DataFrame, total: int, threshold: float, block: int):
     if cells < 2 or threshold <= 0:
         return single, {0: total}
     # pivots far from each other, out of a seeded sample: every cluster of some size gets one
-    sample = to_matrix(rows.orderBy(HASH).limit(PIVOT_SAMPLE).toArrow().column("_v"))
+    sample = to_matrix(first_by_hash(rows, PIVOT_SAMPLE, total).column("_v"))
     pivots = sample[greedy_local(sample, cells)]
     theta = float(np.arccos(np.clip(threshold, -1.0, 1.0)))
     placed = rows.withColumn("_cells", _visits(pivots, theta))
