@@ -1,4 +1,5 @@
 import json
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -191,6 +192,8 @@ def test_whole_run(spark, tmp_path):
     assert prepared.first().formatted_text.startswith("### Instruction:\nExplain item")
     stored = data_prep.run(spark, data, keep=False)
     assert rows(stored, "id", "split") == rows(prepared, "id", "split")
+    after = data_prep.run(spark, replace(data, sample_after_clean=True))
+    assert rows(after, "id", "split") == rows(prepared, "id", "split")
     prompts = spark.createDataFrame([("What is a bond?",)], "prompt string")
     out = whole_run.run(
         spark, data, EvalSpec(metrics=("rouge",)), lambda: (lambda ps, n: [p + "answer" for p in ps]),

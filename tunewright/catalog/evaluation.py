@@ -13,7 +13,6 @@ from tunewright.catalog.common import (
     embed_sql,
     labelled,
     padded,
-    padded_sql,
     strip_sql,
     table,
 )

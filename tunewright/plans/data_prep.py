@@ -29,18 +29,17 @@ def prepare(
 ) -> DataFrame:
     """Sample, clean, split and format; the result has ``split`` and the prompt column.
 
-    The split reads the cleaned keys to place its cuts. ``keep`` writes the cleaned table to the
+    The split (and a sample after cleaning) reads the cleaned keys to place its cuts. ``keep`` writes the cleaned table to the
     shared folder first, so that those passes read one column of it; by default this is done where
     cleaning removes duplicates, which would otherwise be shuffled for every pass.
     """
-    if spec.sample_after_clean:
-        df = cl.clean(df, spec.clean, spec.key)
-        df = sm.downsample(df, spec.sample, spec.key, embedder)
-    else:
+    if not spec.sample_after_clean:
         df = sm.downsample(df, spec.sample, spec.key, embedder)
-        df = cl.clean(df, spec.clean, spec.key)
+    df = cl.clean(df, spec.clean, spec.key)
     if spec.clean.drop_duplicates if keep is None else keep:
         df = store(df, "cleaned")
+    if spec.sample_after_clean:
+        df = sm.downsample(df, spec.sample, spec.key, embedder)
     return pr.format_prompts(sp.split(df, spec.split_spec, spec.key), prompt_spec(spec))
 
 

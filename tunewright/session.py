@@ -34,9 +34,12 @@ def local_session(cpus: int | str = "*", app: str = "tunewright", **conf: str) -
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Give the Python workers this package, wherever the driver found it. Once per context."""
+    """Give local Python workers this package, wherever the driver found it. Once per context.
+
+    On a cluster it is installed or passed with ``--py-files``.
+    """
     sc = spark.sparkContext
-    if getattr(sc, "_tunewright_shipped", False):
+    if getattr(sc, "_tunewright_shipped", False) or not sc.master.startswith("local"):
         return
     package = Path(__file__).resolve().parent
     base = os.path.join(tempfile.mkdtemp(prefix="tunewright-code-"), package.name)
