@@ -29,9 +29,10 @@ def prepare(
 ) -> DataFrame:
     """Sample, clean, split and format; the result has ``split`` and the prompt column.
 
-    The split (and a sample after cleaning) reads the cleaned keys to place its cuts. ``keep`` writes the cleaned table to the
-    shared folder first, so that those passes read one column of it; by default this is done where
-    cleaning removes duplicates, which would otherwise be shuffled for every pass.
+    The split (and a sample after cleaning) reads the cleaned keys to place its cuts. ``keep``
+    writes the cleaned table to the shared folder first, so that those passes read one column of
+    it; by default this is done where cleaning removes duplicates, which would otherwise be
+    shuffled for every pass.
     """
     if not spec.sample_after_clean:
         df = sm.downsample(df, spec.sample, spec.key, embedder)
