@@ -14,7 +14,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 _QUERIES: dict[str, Query] = {}
 _ORACLES: dict[str, str] = {}
-_MODULES = ("decontaminate", "urls", "shards")
+_MODULES = ("decontaminate", "urls", "shards", "simhash")
 
 
 def query(name: str, sql: str | None = None):
