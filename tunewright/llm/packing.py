@@ -33,7 +33,7 @@ from tunewright.llm.registry import query
 from tunewright.session import store
 
 KNOWN_WORDS = 1_500_000
-OFFSET_ROWS = 500_000
+OFFSET_ROWS = 200_000
 
 
 class WordTokens:

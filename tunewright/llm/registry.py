@@ -14,7 +14,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 _QUERIES: dict[str, Query] = {}
 _ORACLES: dict[str, str] = {}
-_MODULES = ("kneser_ney", "langid", "decontaminate", "packing", "urls", "shards", "simhash")
+_MODULES = (
+    "html", "kneser_ney", "langid", "decontaminate", "packing", "urls", "shards", "simhash",
+)
 
 
 def query(name: str, sql: str | None = None):
