@@ -15,7 +15,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
 _ORACLES: dict[str, str] = {}
 _MODULES = (
-    "vector_graph", "html", "kneser_ney", "langid", "decontaminate", "packing", "urls", "shards", "simhash",
+    "quotes", "vector_graph", "html", "kneser_ney", "langid", "decontaminate", "packing", "urls", "shards", "simhash",
 )
 
 
