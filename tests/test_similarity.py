@@ -57,10 +57,12 @@ def test_similar_pairs_find_every_pair(vectors, seeded, threshold, block):
     out = similarity_join.similar_pairs(df, "id", "v", threshold, block=block).collect()
     place = {i: n for n, i in enumerate(seeded(range(len(x))))}
     s = sims(x)
-    # copies of row 0 (ids 260..349) are linked to the first of them only
+    # copies of row 0 (ids 260..349) are listed apart
     group = sorted([0, *range(260, 350)], key=place.get)
     first, others = group[0], set(group[1:])
-    expected = {(first, i) for i in others}
+    copies = similarity_join.vector_copies(df, "id", "v").collect()
+    assert sorted((r.a_id, r.b_id) for r in copies) == sorted((first, i) for i in others)
+    expected = set()
     rest = [i for i in range(len(x)) if i not in others]
     for a in rest:
         for b in rest:
@@ -70,6 +72,30 @@ def test_similar_pairs_find_every_pair(vectors, seeded, threshold, block):
     assert len(out) == len(expected)
 
 
+@pytest.mark.parametrize("threshold", [0.95, 0.999999, 1.0])
+def test_cells_lose_no_pair_near_the_threshold(spark, threshold):
+    angle = np.arange(1200) * 1e-5
+    x = np.stack([np.cos(angle), np.sin(angle)], axis=1)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id int, v array<double>")
+    df = df.filter("id < 300") if threshold < 0.999 else df
+    one = similarity_join.similar_pairs(df, "id", "v", threshold, block=4096).collect()
+    cells = similarity_join.similar_pairs(df, "id", "v", threshold, block=60).collect()
+    assert len(one) > 1000 and set(one) == set(cells) and len(one) == len(cells)
+
+
+def test_tiny_blocks_and_no_anchors(vectors):
+    df, _ = vectors
+    some = df.filter("id < 30")
+    one = similarity_join.similar_pairs(some, "id", "v", 0.3)
+    assert set(similarity_join.similar_pairs(some, "id", "v", 0.3, block=2).collect()) == set(one.collect())
+    none = guard.scope_scores(some, "id", "v", df.limit(0), "v").collect()
+    assert len(none) == 30 and {r.max_cosine for r in none} == {None}
+    twice = some.unionByName(some.filter("id = 3"))
+    for limit in (4096, 5):
+        out = guard.scope_scores(twice, "id", "v", df.filter("id < 40"), "v", limit, 7).collect()
+        assert len(out) == 31 and len({round(r.max_cosine, 9) for r in out if r.id == 3}) == 1
+
+
 def test_cells_are_used_where_they_pay(spark):
     rng = np.random.default_rng(0)
     centres = np.eye(24)
@@ -100,28 +126,6 @@ def test_farthest_points_of_all_rows(vectors):
     assert diverse_n(df, 1000, "id", "v").count() == len(x)
 
 
-def test_core_set_does_not_depend_on_partitioning_and_covers(vectors):
-    df, x = vectors
-    picks = [
-        sorted(
-            r.id
-            for r in diverse_n(d, 12, "id", "v", mode="coreset", bucket_rows=60).collect()
-        )
-        for d in (df.repartition(1), df.repartition(17))
-    ]
-    assert picks[0] == picks[1] and len(set(picks[0])) == 12
-    s = sims(x[:350])
-    exact = farthest(x[:350], list(range(350)), 12)
-    chosen = [i for i in picks[0] if i < 350]
-    # covering angle within the factor known for composable core-sets
-    def angle(p):
-        return np.arccos(np.clip(s[:, p].max(axis=1), -1, 1)).max()
-
-    assert angle(chosen) <= 4 * angle(exact) + 0.2
-    with pytest.raises(ValueError, match="Unknown mode"):
-        diverse_n(df, 3, "id", "v", mode="x")
-
-
 def test_scope_scores_of_large_anchor_tables(spark, vectors):
     df, x = vectors
     anchors = df.filter("id < 40")

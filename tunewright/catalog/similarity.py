@@ -61,6 +61,47 @@ def similar_pairs(spark, sf):
     return out.withColumn("cosine", F.round("cosine", 6))
 
 
+@query(
+    "similar_pairs_cells",
+    f"""WITH {EMBEDDINGS_SQL}, {unit_sql("emb", "u")}
+SELECT a.id AS a_vec_id, b.id AS b_vec_id, round(round(list_inner_product(a.v, b.v), 9), 6) AS cosine
+FROM u a JOIN u b ON a.h < b.h AND round(list_inner_product(a.v, b.v), 9) >= 0.3""",
+)
+def similar_pairs_cells(spark, sf):
+    """Small blocks: several tasks, also such as have only one side."""
+    e = table(spark, sf, "embeddings")
+    out = similarity_join.similar_pairs(e, "vec_id", "embedding", 0.3, block=64)
+    return out.withColumn("cosine", F.round("cosine", 6))
+
+
+COPIES_SQL = f"""{DOCS_SQL}, {embed_sql("docs", "vec")}, {unit_sql("vec", "u")},
+firsts AS MATERIALIZED (
+  SELECT v, min(h) AS h, min_by(id, h) AS id FROM u WHERE list_inner_product(v, v) > 0 GROUP BY v)"""
+
+
+@query(
+    "similar_pairs_documents",
+    f"""WITH {COPIES_SQL}
+SELECT a.id AS a_doc_id, b.id AS b_doc_id, round(round(list_inner_product(a.v, b.v), 9), 6) AS cosine
+FROM firsts a JOIN firsts b ON a.h < b.h AND round(list_inner_product(a.v, b.v), 9) >= 0.95""",
+)
+def similar_pairs_documents(spark, sf):
+    """Vectors with copies, in cells of small blocks."""
+    d = spread(table(spark, sf, "documents")).select("doc_id", em.embed(F.col("text")).alias("v"))
+    out = similarity_join.similar_pairs(d, "doc_id", "v", 0.95, block=128)
+    return out.withColumn("cosine", F.round("cosine", 6))
+
+
+@query(
+    "vector_copies",
+    f"""WITH {COPIES_SQL}
+SELECT f.id AS a_doc_id, u.id AS b_doc_id FROM firsts f JOIN u ON u.v = f.v AND u.h <> f.h""",
+)
+def vector_copies(spark, sf):
+    d = spread(table(spark, sf, "documents")).select("doc_id", em.embed(F.col("text")).alias("v"))
+    return similarity_join.vector_copies(d, "doc_id", "v")
+
+
 @query(
     "near_duplicates",
     f"""WITH RECURSIVE {EMBEDDINGS_SQL}, {unit_sql("emb", "u")}, {greedy_sql("u", 0.3, "kept")}
@@ -105,12 +146,6 @@ def sample_diverse(spark, sf):
     return diverse_n(e, 25, "vec_id", "embedding", pick_column="pick").select("vec_id", "pick")
 
 
-@query("sample_diverse_coreset")
-def sample_diverse_coreset(spark, sf):
-    e = table(spark, sf, "embeddings").select("vec_id", "embedding", "label")
-    return diverse_n(e, 25, "vec_id", "embedding", mode="coreset", bucket_rows=100)
-
-
 QUALITY_SQL = f"""docs AS (
   SELECT doc_id AS id, lang || ' ' || text AS text FROM documents
   WHERE length(lang || ' ' || text) BETWEEN 20 AND 4000),
@@ -135,10 +170,10 @@ b AS (SELECT item_id AS id, text FROM benchmark), {embed_sql("b", "bv")}
 SELECT qv.id, round(max({cosine_sql("qv.v", "bv.v")}), 6) AS max_cosine FROM qv, bv GROUP BY qv.id"""
 
 
-def _scope(spark, sf, limit):
+def _scope(spark, sf, limit, block=4096):
     q = chat_pairs(spark, sf).select("id", em.embed(F.col("instruction")).alias("v"))
     b = table(spark, sf, "benchmark").select(em.embed(F.col("text")).alias("v"))
-    out = guard.scope_scores(q, "id", "v", b, "v", limit)
+    out = guard.scope_scores(q, "id", "v", b, "v", limit, block)
     return out.withColumn("max_cosine", F.round("max_cosine", 6))
 
 
@@ -149,8 +184,8 @@ def anchor_scope(spark, sf):
 
 @query("anchor_scope_blocks", ANCHOR_TABLE_SQL)
 def anchor_scope_blocks(spark, sf):
-    """The path for anchor tables beyond the limit."""
-    return _scope(spark, sf, 8)
+    """The path for anchor tables beyond the limit, in several blocks."""
+    return _scope(spark, sf, 8, 16)
 
 
 SPEC = GuardSpec(confidence_threshold=0.35, scope_threshold=0.1)
@@ -240,11 +275,3 @@ def guard_predict(spark, sf):
     return out.select(
         "id", "reason", F.round("confidence_score", 6).alias("confidence_score"), "answer"
     )
-
-
-@query(
-    "seeded_first_vector",
-    f"SELECT vec_id, label FROM embeddings ORDER BY {hash_sql('vec_id')} LIMIT 50",
-)
-def seeded_first_vector(spark, sf):
-    return sm.random_n(table(spark, sf, "embeddings").select("vec_id", "label"), 50, "vec_id")

@@ -11,7 +11,7 @@ from tunewright.functions import vectors as vx
 from tunewright.operators.infer import PredictorFactory, predicted
 from tunewright.operators.prompt import strip_prompt
 from tunewright.operators.rank import BROADCAST_ROWS
-from tunewright.operators.similarity_join import max_cosine_join
+from tunewright.operators.similarity_join import BLOCK, max_cosine_join
 from tunewright.specs import REFUSAL_MESSAGE, GuardSpec
 
 # Anchors that fit one matrix in each Python worker; a larger table is joined in blocks.
@@ -26,20 +26,23 @@ def scope_score(question_vec: Column, anchors: np.ndarray) -> Column:
 
 def scope_scores(
     df: DataFrame, key: str, vec: str, anchors: DataFrame, anchor_vec: str,
-    anchor_rows: int = ANCHOR_ROWS,
+    anchor_rows: int = ANCHOR_ROWS, block: int = BLOCK,
 ) -> DataFrame:
     """Scope score per row against an anchor table of any size.
 
     The anchor table is read up to the limit. Within it, it becomes a constant matrix and no row
-    moves; beyond it both sides are joined in blocks.
+    moves; beyond it both sides are joined in blocks. Either way each row gets one score, which is
+    null if there are no anchors.
     """
     rows = anchors.select(F.col(anchor_vec).cast("array<double>")).limit(anchor_rows + 1).collect()
-    if 0 < len(rows) <= anchor_rows:
+    if not rows:
+        return df.select(key, F.lit(None).cast("double").alias("max_cosine"))
+    if len(rows) <= anchor_rows:
         return df.select(
             key,
             scope_score(F.col(vec), np.array([r[0] for r in rows])).alias("max_cosine"),
         )
-    return max_cosine_join(df, key, vec, anchors, anchor_vec)
+    return max_cosine_join(df, key, vec, anchors, anchor_vec, block)
 
 
 def confidence_score(question_vec: Column, answer_vec: Column) -> Column:

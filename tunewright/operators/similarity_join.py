@@ -11,6 +11,7 @@ one cell. Only pairs that reach the threshold leave a task.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 import numpy as np
@@ -25,7 +26,7 @@ from tunewright.operators.rank import HASH, as_list, first_by_hash, order_hash
 from tunewright.session import cut_lineage
 
 BLOCK = 4096
-MAX_CELLS = 256
+MOST_CELLS = 2048  # half the pivot sample: cells grow with the root of the rows up to here
 PIVOT_SAMPLE = 4096
 DECIMALS = 9  # cosines are compared at nine decimals
 SLACK = 1e-6  # widens the angle limit against rounding
@@ -93,13 +94,15 @@ def _visits(pivots: np.ndarray, theta: float):
 def _members(rows: DataFrame, total: int, threshold: float, block: int):
     """Rows with their home and the cells they visit, and the rows of each cell."""
     single = rows.select(HASH, "_v", F.lit(0).alias("_home"), F.lit(0).alias("_cell"))
-    cells = min(MAX_CELLS, total // block)
+    cells = min(MOST_CELLS, max(total // block, math.isqrt(total)) if total >= 2 * block else 1)
     if cells < 2 or threshold <= 0:
         return single, {0: total}
     # pivots far from each other, out of a seeded sample: every cluster of some size gets one
     sample = to_matrix(first_by_hash(rows, PIVOT_SAMPLE, total).column("_v"))
     pivots = sample[greedy_local(sample, cells)]
-    theta = float(np.arccos(np.clip(threshold, -1.0, 1.0)))
+    # cosines are rounded before they are compared, so a pair may be half a unit below
+    lowest = threshold - 0.5 * 10.0**-DECIMALS - 1e-12
+    theta = float(np.arccos(np.clip(lowest, -1.0, 1.0)))
     placed = rows.withColumn("_cells", _visits(pivots, theta))
     members = placed.select(
         HASH, "_v", F.col("_cells")[0].alias("_home"), F.explode("_cells").alias("_cell")
@@ -119,7 +122,7 @@ def edges(rows: DataFrame, total: int, threshold: float, block: int = BLOCK) ->
     mine = (hash_number(F.col(HASH)) % F.col("_g")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("_g") - 1))
     tasks = (
-        members.join(F.broadcast(blocks), "_cell")  # at most MAX_CELLS rows
+        members.join(F.broadcast(blocks), "_cell")  # at most MOST_CELLS rows
         .withColumn("_mine", mine)
         .withColumn("_other", other)
         .withColumn("_i", F.least("_mine", "_other"))
@@ -132,7 +135,8 @@ def edges(rows: DataFrame, total: int, threshold: float, block: int = BLOCK) ->
         left = pdf if i == j else pdf[pdf["_mine"] == i]
         right = pdf if i == j else pdf[pdf["_mine"] == j]
         if left.empty or right.empty:
-            return pd.DataFrame({"a": [], "b": [], "cosine": []})
+            none = pd.Series([], dtype=str)
+            return pd.DataFrame({"a": none, "b": none, "cosine": pd.Series([], dtype=float)})
         sims = cosines(np.stack(left["_v"].to_numpy()), np.stack(right["_v"].to_numpy()))
         hit = sims >= threshold
         hit &= np.minimum.outer(left["_home"].to_numpy(), right["_home"].to_numpy()) == cell
@@ -152,6 +156,19 @@ def edges(rows: DataFrame, total: int, threshold: float, block: int = BLOCK) ->
     )
 
 
+def _named(pairs: DataFrame, df: DataFrame, key: str | Sequence[str], seed: int) -> DataFrame:
+    """Replace the order hashes ``a`` and ``b`` by the key columns."""
+    names = as_list(key)
+    ids = df.select(order_hash(key, seed).alias(HASH), *names)
+    for side in ("a", "b"):
+        renamed = ids.select(
+            F.col(HASH).alias(side), *[F.col(k).alias(f"{side}_{k}") for k in names]
+        )
+        pairs = pairs.join(renamed, side)
+    rest = [c for c in pairs.columns if c == "cosine"]
+    return pairs.select(*[f"a_{k}" for k in names], *[f"b_{k}" for k in names], *rest)
+
+
 def similar_pairs(
     df: DataFrame,
     key: str | Sequence[str],
@@ -160,46 +177,44 @@ def similar_pairs(
     seed: int = 42,
     block: int = BLOCK,
 ) -> DataFrame:
-    """Pairs of rows with cosine >= threshold, the earlier row of the seeded order first.
+    """All pairs of distinct vectors with cosine >= threshold, the earlier of the seeded order first.
 
-    Copies of one vector are linked to the first of them only, not to each other: their partners
-    are those of the first.
+    A vector stands for all rows that hold it, under the key of the first; ``vector_copies`` lists
+    them. Both together are all pairs of rows, without a product of two groups of copies.
     """
-    names = as_list(key)
+    first = cut_lineage(collapse_copies(unit_vectors(df, key, vec, seed)))
+    pairs = edges(first.drop("_n"), first.count(), threshold, block)
+    return _named(pairs, df, key, seed)
+
+
+def vector_copies(df: DataFrame, key: str | Sequence[str], vec: str, seed: int = 42) -> DataFrame:
+    """The first row of each vector that repeats (``a``) with each of its copies (``b``)."""
     rows = unit_vectors(df, key, vec, seed)
     first = cut_lineage(collapse_copies(rows))
-    distinct, total = first.agg(F.count("*"), F.coalesce(F.sum("_n"), F.lit(0))).first()
-    pairs = edges(first.drop("_n"), distinct, threshold, block)
-    if threshold <= 1:
-        copies = _copies(rows, first, total).withColumn("cosine", F.lit(1.0))
-        pairs = pairs.unionByName(copies)
-    ids = df.select(order_hash(key, seed).alias(HASH), *names)
-    for side in ("a", "b"):
-        renamed = ids.select(
-            F.col(HASH).alias(side), *[F.col(k).alias(f"{side}_{k}") for k in names]
-        )
-        pairs = pairs.join(renamed, side)
-    return pairs.select(*[f"a_{k}" for k in names], *[f"b_{k}" for k in names], "cosine")
+    total = first.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
+    return _named(_copies(rows, first, total), df, key, seed)
 
 
 def max_cosine_join(
     left: DataFrame, key: str, vec: str, anchors: DataFrame, anchor_vec: str, block: int = BLOCK
 ) -> DataFrame:
-    """Per left row the largest cosine to any anchor, for anchor tables of any size.
+    """Per left row the largest cosine to any anchor, for anchor tables of any size; null without
+    anchors.
 
     Both sides are cut into blocks; a task takes one block of each and returns one maximum per left
-    row, so the product is never written out.
+    vector, so the product is never written out.
     """
-    x = left.select(
+    rows = left.select(
         F.col(key).alias("_k"), normalize(F.col(vec).cast("array<double>")).alias("_v")
     )
+    x = rows.distinct()
     y = anchors.select(normalize(F.col(anchor_vec).cast("array<double>")).alias("_v"))
     gx, gy = max(1, -(-x.count() // block)), max(1, -(-y.count() // block))
 
     def blocks(n: int) -> Column:
         return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
 
-    lhs = x.withColumn("_i", F.pmod(F.xxhash64("_k"), F.lit(gx)).cast("int")).withColumn(
+    lhs = x.withColumn("_i", F.pmod(F.xxhash64("_k", "_v"), F.lit(gx)).cast("int")).withColumn(
         "_j", blocks(gy)
     )
     rhs = y.withColumn("_j", F.pmod(F.xxhash64("_v"), F.lit(gy)).cast("int")).withColumn(
@@ -208,16 +223,23 @@ def max_cosine_join(
     kind = left.schema[key].dataType.simpleString()
 
     def best(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        a = a[a["_v"].notna()]
         if a.empty or b.empty:
-            return pd.DataFrame({"_k": [], "_m": []})
+            none = pd.Series([], dtype=float)
+            return pd.DataFrame({"_k": a["_k"].iloc[:0], "_v": a["_v"].iloc[:0], "_m": none})
         top = np.full(len(a), -np.inf)
         xs, ys = np.stack(a["_v"].to_numpy()), np.stack(b["_v"].to_numpy())
         for at in range(0, len(ys), BLOCK):  # copies of one anchor share a block
             top = np.maximum(top, (xs @ ys[at : at + BLOCK].T).max(axis=1))
-        return pd.DataFrame({"_k": a["_k"].to_numpy(), "_m": top})
+        return pd.DataFrame({"_k": a["_k"].to_numpy(), "_v": a["_v"].to_numpy(), "_m": top})
 
     part = (
-        lhs.groupBy("_i", "_j").cogroup(rhs.distinct().groupBy("_i", "_j"))
-        .applyInPandas(best, f"_k {kind}, _m double")
+        lhs.groupBy("_i", "_j")
+        .cogroup(rhs.distinct().groupBy("_i", "_j"))
+        .applyInPandas(best, f"_k {kind}, _v array<double>, _m double")
+    )
+    top = part.groupBy(F.col("_k").alias("_key"), F.col("_v").alias("_vec")).agg(
+        F.max("_m").alias("max_cosine")
     )
-    return part.groupBy(F.col("_k").alias(key)).agg(F.max("_m").alias("max_cosine"))
+    same = F.col("_k").eqNullSafe(F.col("_key")) & F.col("_v").eqNullSafe(F.col("_vec"))
+    return rows.join(top, same, "left").select(F.col("_k").alias(key), "max_cosine")

@@ -93,12 +93,12 @@ def store(df: DataFrame, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Use all cores for costly work per row on a table that arrives in few pieces.
+    """Use all cores for costly work per row on a table of few files, which may be small.
 
-    A large table is read in more pieces than there are cores and is left as it is.
+    A table of more files than there are cores is left as it is. Nothing runs to find out.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
 
 
 LOCAL_ROWS = 10_000
