@@ -161,6 +161,22 @@ def test_stream_equals_batch_and_replays_leave_one_copy(spark, tmp_path):
     # lost offsets: the same batch id is written again
     ingest.ingest_metrics(stream, target, str(tmp_path / "o2")).awaitTermination()
     assert rows(spark.read.parquet(target), *columns) == expected
+    # a second stream has batch numbers of its own
+    other = str(tmp_path / "other")
+    sinks.append_log(spark.createDataFrame([("s", 3_000_000_000, 0.1, 2.0, 0.5)], LOG), other)
+    stream = ingest.read_log_stream(spark, other)
+    ingest.ingest_metrics(stream, target, str(tmp_path / "o3"), source="other").awaitTermination()
+    both = spark.read.parquet(target)
+    assert rows(both.filter("run_id = 'r'"), *columns) == expected
+    assert {r.step for r in both.filter("run_id = 's'").collect()} == {3_000_000_000}
+    current = track.current(both.drop("source", "batch_id"), ["run_id", "key", "step"])
+    assert current.count() == both.count()
+
+
+def test_runs_read_only_their_kinds(spark, tmp_path):
+    spark.createDataFrame([], track.EVENT_SCHEMA).write.parquet(str(tmp_path / "e"))
+    plan = track.runs(spark.read.parquet(str(tmp_path / "e")))._jdf.queryExecution().toString()
+    assert "PushedFilters: [Or(EqualTo(kind,start),EqualTo(kind,end))]" in plan
 
 
 def test_stream_prompts_equal_batch(spark, tmp_path):

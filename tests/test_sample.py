@@ -63,7 +63,7 @@ def test_first_is_a_filter_on_the_scan(spark, tmp_path):
 
 
 def test_unknown_strategy(hundred):
-    with pytest.raises(ValueError, match="Unknown sample_strategy"):
+    with pytest.raises(ValueError, match="no strategy"):
         sm.downsample(hundred, SampleSpec(n=2, strategy="invalid"), "id")
 
 
@@ -84,9 +84,9 @@ def test_stratified_keeps_proportions(strata):
 
 
 def test_stratified_errors(strata):
-    with pytest.raises(ValueError, match="sample_stratify_column"):
+    with pytest.raises(ValueError, match="to stratify by"):
         sm.downsample(strata, SampleSpec(n=2, strategy="stratified", stratify_column="no"), "id")
-    with pytest.raises(ValueError, match="requires sample_stratify_column"):
+    with pytest.raises(ValueError, match="needs stratify_column"):
         sm.downsample(strata, SampleSpec(n=2, strategy="stratified"), "id")
 
 
@@ -188,3 +188,37 @@ def test_normalize_and_cosine(spark):
     assert out[0].u == [0.6, 0.8] and out[1].u == [0.0, 0.0]
     assert out[0].c == pytest.approx(0.96) and out[1].c == 0.0
     assert out[0].d == 24.0 and out[0].m == pytest.approx(0.8)
+
+
+def test_first_n_is_exact_on_ties(spark):
+    df = spark.createDataFrame([(i, i % 10) for i in range(100)], "id int, b int").repartition(5)
+    out = sm.first_n(df, 15, "b", "id")
+    assert sorted(ids(out)) == sorted([*range(0, 100, 10), *range(1, 51, 10)])
+    spec = SampleSpec(n=15, strategy="first", order_by=("b",))
+    assert sorted(ids(sm.downsample(df, spec, "id"))) == sorted(ids(out))
+    # beyond a top-k, with ranges that are cut again
+    far = rank.first_by_columns(df, ["b", "id"], 37, topk=3, range_rows=4)
+    want = sorted(range(100), key=lambda i: (i % 10, i))[:37]
+    assert sorted(ids(far)) == sorted(want)
+
+
+def test_repeated_keys_raise(spark):
+    df = spark.createDataFrame([(i % 30, "x") for i in range(40)], "id int, s string")
+    for strategy in ("random", "first", "stratified"):
+        spec = SampleSpec(n=5, strategy=strategy, stratify_column="s")
+        with pytest.raises(ValueError, match="not unique"):
+            sm.downsample(df, spec, "id")
+    assert sm.downsample(df, SampleSpec(n=5), "id", check_key=False).count() >= 5
+
+
+def test_parts_of_a_key_do_not_run_together(spark):
+    rows = [("a|b", "c"), ("a", "b|c"), (None, "c"), ("", "c"), ("c", None), ("1:c", "")]
+    df = spark.createDataFrame(rows, "x string, y string")
+    assert df.select(rank.order_hash(["x", "y"], 1).alias("h")).distinct().count() == len(rows)
+
+
+def test_samples_keep_the_order_of_columns(spark):
+    df = spark.createDataFrame([(i, "ab"[i % 2], "t" * 30) for i in range(60)], "id int, s string, text string")
+    for strategy in ("random", "first", "stratified", "diversity", "quality"):
+        spec = SampleSpec(n=9, strategy=strategy, stratify_column="s", text_columns=("text",))
+        assert sm.downsample(df, spec, "id").columns == ["id", "s", "text"]

@@ -60,7 +60,7 @@ def test_many_classes_rank_in_bands(spark, monkeypatch):
 
 
 def test_bad_ratios(spark):
-    with pytest.raises(ValueError, match="must sum to 1.0"):
+    with pytest.raises(ValueError, match="not 1"):
         sp.split(table(spark, 10), SplitSpec(0.5, 0.1, 0.1), "id")
 
 

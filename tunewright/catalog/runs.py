@@ -242,18 +242,33 @@ long AS (
   UNION ALL SELECT run_id, 'epoch', epoch, step FROM log WHERE epoch IS NOT NULL)"""
 
 
-@query("metric_events", f"WITH {LONG_SQL} SELECT run_id, key, value, step::INT AS step FROM long")
+@query("metric_events", f"WITH {LONG_SQL} SELECT run_id, key, value, step FROM long")
 def metric_events(spark, sf):
     return track.metric_events(track.log_entries(log_rows(spark, sf)))
 
 
-@query("stream_metrics", f"WITH {LONG_SQL} SELECT run_id, key, value, step::INT AS step FROM long")
+@query("stream_metrics", f"WITH {LONG_SQL} SELECT run_id, key, value, step FROM long")
 def stream_metrics(spark, sf):
     """The same rows, read from the log folder as a stream."""
     stream = ingest.read_log_stream(spark, _stored_log(spark, sf))
     target, checkpoint = scratch_path(spark, "metrics"), scratch_path(spark, "offsets")
     ingest.ingest_metrics(stream, target, checkpoint).awaitTermination()
-    return spark.read.parquet(target).drop("batch_id")
+    return spark.read.parquet(target).select("run_id", "key", "value", "step")
+
+
+@query("stream_current", f"WITH {LONG_SQL} SELECT run_id, key, value, step FROM long")
+def stream_current(spark, sf):
+    """Two log folders streamed into one target, and the last write of each metric there."""
+    logs = track.log_entries(log_rows(spark, sf))
+    target = scratch_path(spark, "tracking")
+    for name, part in (("even", F.col("step") % 2 == 0), ("odd", F.col("step") % 2 != 0)):
+        folder = scratch_path(spark, "log")
+        sinks.append_log(logs.filter(part), folder)
+        stream = ingest.read_log_stream(spark, folder)
+        offsets = scratch_path(spark, "offsets")
+        ingest.ingest_metrics(stream, f"{target}/metrics", offsets, source=name).awaitTermination()
+    current = tables.current_tracking(spark, target, "metrics")
+    return current.select("run_id", "key", "value", "step")
 
 
 @query(

@@ -31,8 +31,18 @@ def as_list(key: str | Sequence[str]) -> list[str]:
 
 
 def order_hash(key: str | Sequence[str], seed: int) -> Column:
-    """``md5(seed|key)`` as text."""
-    parts = [F.col(f"`{k}`").cast("string") for k in as_list(key)]
+    """``md5(seed|key)`` as text.
+
+    The parts of a key of several columns carry their length, or ``~`` for null, so that different
+    keys never give one text.
+    """
+    names = as_list(key)
+    parts = [F.col(f"`{k}`").cast("string") for k in names]
+    if len(names) > 1:
+        parts = [
+            F.coalesce(F.concat(F.length(p).cast("string"), F.lit(":"), p), F.lit("~"))
+            for p in parts
+        ]
     return F.md5(F.concat_ws("|", F.lit(str(seed)), *parts))
 
 
@@ -200,6 +210,7 @@ def attach(df: DataFrame, lookup: DataFrame, on: str, rows: int, spread: Column)
     return df.withColumn("_salt", salt).join(salted, [on, "_salt"], "left").drop("_salt")
 
 
+RANGE_ROWS = 1_000_000  # so many narrow rows may be sorted in one task
 GROUP_LIMIT = 999  # up to here Spark keeps only n rows per group before the shuffle
 GROUPS = 256
 
@@ -237,14 +248,14 @@ def first_by_hash(rows: DataFrame, n: int, total: int, after: str = "") -> pa.Ta
 
 
 def first_by_columns(
-    df: DataFrame, order: list[str], n: int, topk: int = GROUP_LIMIT
+    df: DataFrame, order: list[str], n: int, topk: int = GROUP_LIMIT, range_rows: int = RANGE_ROWS
 ) -> DataFrame:
     """The first ``n`` rows by plain columns, which must identify a row together.
 
     Only the order columns are searched for the n-th row; the rows are then selected by comparison
     with it, a filter that reaches the scan. Up to ``topk`` rows the search is a top-k tree. Beyond,
     the order columns are range partitioned (and checkpointed, so that the ranges stand still) and
-    counts per range tell where the n-th row is.
+    counts per range tell where the n-th row is. That range is cut again until it is small.
     """
     place = F.struct(*[F.col(f"`{c}`") for c in order])
     if n <= topk:
@@ -260,26 +271,25 @@ def first_by_columns(
         return df.filter(near & (place <= F.struct(*fields)))
     from tunewright.session import cut_lineage
 
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = cut_lineage(
-        df.select(place.alias("_o"))
-        .repartitionByRange(parts, "_o")
-        .withColumn("_range", F.spark_partition_id())
-    )
-    seen = 0
-    cut = None
-    for r in sorted(ranged.groupBy("_range").count().collect(), key=lambda r: r["_range"]):
-        if seen < n <= seen + r["count"]:
-            need, at = n - seen, r["_range"]
-            inside = W.partitionBy("_range").orderBy("_o")
-            cut = (
-                ranged.filter(F.col("_range") == at)
-                .withColumn("_place", F.row_number().over(inside))
-                .filter(F.col("_place") == need)
-                .select("_o")
-            )
+    parts = max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    rows, need, before = df.select(place.alias("_o")), n, 0
+    while True:
+        ranged = cut_lineage(
+            rows.repartitionByRange(parts, "_o").withColumn("_range", F.spark_partition_id())
+        )
+        at, size = None, 0
+        for r in sorted(ranged.groupBy("_range").count().collect(), key=lambda r: r["_range"]):
+            if need <= r["count"]:
+                at, size = r["_range"], r["count"]
+                break
+            need -= r["count"]
+        if at is None:
+            return df
+        rows = ranged.filter(F.col("_range") == at).select("_o")
+        # a range that does not shrink holds one value
+        if size <= range_rows or size == before:
             break
-        seen += r["count"]
-    if cut is None:
-        return df
+        before = size
+    # the last of the first ``need`` rows: a top-k of a bounded range
+    cut = rows.orderBy("_o").limit(need).agg(F.max("_o").alias("_o"))
     return df.join(F.broadcast(cut), place <= F.col("_o")).drop("_o")  # one row

@@ -5,12 +5,12 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window as W
 
 from tunewright.operators import rank
-from tunewright.session import LOCAL_ROWS, settle
+from tunewright.session import LOCAL_ROWS, cut_lineage, settle
 from tunewright.specs import SplitSpec
 
 NAMES = ("train", "val", "test")
@@ -19,7 +19,7 @@ NAMES = ("train", "val", "test")
 def check_ratios(spec: SplitSpec) -> None:
     total = spec.train + spec.val + spec.test
     if abs(total - 1.0) > 1e-6:
-        raise ValueError(f"Split ratios must sum to 1.0, got {total:.4f}")
+        raise ValueError(f"the shares of train, val and test add up to {total:.4f}, not 1")
 
 
 def split_sizes(n: int, spec: SplitSpec) -> tuple[int, int, int]:
@@ -38,18 +38,27 @@ def largest_remainder(
 ) -> DataFrame:
     """Share ``draws`` among classes in proportion to ``size``: floors, then largest remainders.
 
-    Ties go to the lowest class. Many classes are ranked in 4,096 ranges of their remainders, so
-    no task holds all of them.
+    Ties go to the lowest class. Up to ``LOCAL_ROWS`` classes are shared out on the driver. More are
+    ordered by (remainder, class) in ranges of equal size, whatever the remainders are.
     """
     exact = F.col(size) / F.lit(float(max(total, 1))) * F.lit(float(draws))
     floors = df.withColumn("_floor", F.floor(exact)).withColumn("_rest", exact - F.col("_floor"))
+    if classes <= LOCAL_ROWS:
+        rows = floors.toArrow()
+        first = sorted(
+            range(rows.num_rows),
+            key=lambda i, rest=rows["_rest"].to_pylist(), s=rows["_s"].to_pylist(): (-rest[i], s[i]),
+        )
+        floor = rows["_floor"].to_pylist()
+        for i in first[: max(0, draws - sum(floor))]:
+            floor[i] += 1
+        shared = rows.append_column(out, pa.array(floor, pa.int64())).drop_columns(["_floor", "_rest"])
+        return df.sparkSession.createDataFrame(shared)
     given = floors.agg(F.sum("_floor")).first()[0] or 0
     order = [F.col("_rest").desc(), F.col("_s").asc()]
-    if classes <= LOCAL_ROWS:
-        ranked = floors.withColumn("_rank", F.row_number().over(W.orderBy(*order)))
-    else:
-        banded = floors.withColumn("_band", F.floor((1 - F.col("_rest")) * 4096))
-        ranked = rank.bucketed_rank(banded, "_band", order, "_rank").drop("_band")
+    parts = max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    ranged = floors.repartitionByRange(parts, *order).withColumn("_band", F.spark_partition_id())
+    ranked = rank.bucketed_rank(cut_lineage(ranged), "_band", order, "_rank").drop("_band")
     extra = F.when(F.col("_rank") <= draws - given, 1).otherwise(0)
     return ranked.withColumn(out, F.col("_floor") + extra).drop("_floor", "_rest", "_rank")
 
@@ -86,13 +95,20 @@ def class_quotas(df: DataFrame, column: str, spec: SplitSpec) -> tuple[DataFrame
 
 
 def split(
-    df: DataFrame, spec: SplitSpec, key: str | Sequence[str], out: str = "split"
+    df: DataFrame,
+    spec: SplitSpec,
+    key: str | Sequence[str],
+    out: str = "split",
+    check_key: bool = True,
 ) -> DataFrame:
     """Add a ``split`` column. Sizes are exact; membership depends on seed and key only.
 
-    The cut points are found over the key columns; the result is a projection of ``df``.
+    The cut points are found over the key columns; the result is a projection of ``df``. The key
+    must be unique; ``check_key=False`` leaves out the check (a shuffle of the key).
     """
     check_ratios(spec)
+    if check_key:
+        rank.require_unique(df, key)
     h = rank.order_hash(key, spec.seed)
     if spec.stratify_column is None:
 

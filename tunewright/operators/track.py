@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 EVENT_SCHEMA = (
-    "run_id string, kind string, key string, value string, num double, step int, ts double,"
+    "run_id string, kind string, key string, value string, num double, step bigint, ts double,"
     " seq bigint"
 )
 NO_STEP = -1  # fixed value: the step of a metric logged without one
@@ -45,7 +45,8 @@ def _last(value: Column, kind: str) -> Column:
 
 def runs(events: DataFrame) -> DataFrame:
     """One row per started run. A run without an end event is ``running``."""
-    grouped = events.groupBy("run_id").agg(
+    # other kinds need not leave the scan
+    grouped = run_history(events).groupBy("run_id").agg(
         F.count_if(_of("start")).alias("_starts"),
         F.count_if(_of("end")).alias("_ends"),
         _last(F.struct("key", "value", "ts"), "start").alias("_s"),
@@ -98,7 +99,7 @@ def metric_history(events: DataFrame) -> DataFrame:
         "run_id",
         "key",
         F.col("num").alias("value"),
-        F.coalesce("step", F.lit(NO_STEP)).cast("int").alias("step"),
+        F.coalesce("step", F.lit(NO_STEP)).cast("bigint").alias("step"),
         *ORDER,
     )
 
@@ -118,21 +119,33 @@ def metrics(events: DataFrame) -> DataFrame:
     return current(metric_history(events), ["run_id", "key", "step"]).drop("seq")
 
 
-def metric_events(wide: DataFrame, run_id: str = "run_id", step: str = "step") -> DataFrame:
-    """Wide log rows (one column per metric) as long ``(run_id, key, value, step)`` rows."""
+def metric_events(
+    wide: DataFrame, run_id: str = "run_id", step: str = "step", order: Sequence[str] = ORDER
+) -> DataFrame:
+    """Wide log rows (one column per metric) as long ``(run_id, key, value, step)`` rows, with the
+    ``order`` columns (``ts``, ``seq``) that the rows have: with both they are metric history.
+    """
+    order = [c for c in order if c in wide.columns]
     names = [
         f.name
         for f in wide.schema.fields
-        if f.name not in (run_id, step) and isinstance(f.dataType, (T.NumericType, T.BooleanType))
+        if f.name not in (run_id, step, *order)
+        and isinstance(f.dataType, (T.NumericType, T.BooleanType))
     ]
     cells = F.array(
         *[F.struct(F.lit(c).alias("key"), F.col(c).cast("double").alias("value")) for c in names]
     )
     return (
-        wide.select(F.col(run_id).alias("run_id"), F.col(step).alias("step"), F.inline(cells))
+        wide.select(
+            F.col(run_id).alias("run_id"), F.col(step).alias("step"), *order, F.inline(cells)
+        )
         .filter("value IS NOT NULL")
         .select(
-            "run_id", "key", "value", F.coalesce("step", F.lit(NO_STEP)).cast("int").alias("step")
+            "run_id",
+            "key",
+            "value",
+            F.coalesce("step", F.lit(NO_STEP)).cast("bigint").alias("step"),
+            *order,
         )
     )
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tunewright.operators import clean as cl
@@ -19,16 +20,27 @@ def read_log_stream(spark: SparkSession, path: str, max_files: int = 1000) -> Da
 
 
 def ingest_metrics(
-    stream: DataFrame, target: str, checkpoint: str, available_now: bool = True
+    stream: DataFrame,
+    target: str,
+    checkpoint: str,
+    available_now: bool = True,
+    source: str = "log",
 ) -> StreamingQuery:
-    """Wide log rows to long metric rows below ``target/batch_id=<n>``.
+    """Wide log rows to metric history below ``target/source=<name>/batch_id=<n>``.
 
-    A batch owns its folder and overwrites it, so a replay after a failure leaves one copy.
+    A batch owns its folder and overwrites it, so a replay after a failure leaves one copy. Batch
+    numbers are a stream's own: each stream into one target needs a ``source`` name of its own,
+    which stays the same over restarts. Rows without a ``ts`` get the time of their batch; ``seq``
+    orders batches and the rows in them, so the history feeds ``current_tracking``.
     """
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        track.metric_events(batch).write.mode("overwrite").parquet(
-            f"{target.rstrip('/')}/batch_id={batch_id}"
+        if "ts" not in batch.columns:
+            now = F.unix_micros(F.current_timestamp()) / 1_000_000
+            batch = batch.withColumn("ts", now.cast("double"))
+        place = F.lit(batch_id << 43) + F.monotonically_increasing_id() % (1 << 43)
+        track.metric_events(batch.withColumn("seq", place)).write.mode("overwrite").parquet(
+            f"{target.rstrip('/')}/source={source}/batch_id={batch_id}"
         )
 
     writer = stream.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
