@@ -66,7 +66,7 @@ def test_rouge_equals_brute_force(pairs, stemmed):
 
 def test_ngrams_are_not_shuffled(pairs):
     plan = metrics.rouge_scores(pairs, "id")._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange hashpartitioning") == 1
+    assert "hashpartitioning" not in plan
 
 
 def values(df):
@@ -159,7 +159,7 @@ def test_refusal(spark):
 
 
 def test_registry(pairs):
-    with pytest.raises(ValueError, match="Unknown metric 'nope'"):
+    with pytest.raises(ValueError, match="no metric 'nope'"):
         metrics.build(["nope"])
     out = ev.evaluate(pairs, ["rouge", "bertscore", "semantic_similarity", "refusal"])
     assert {r.metric for r in out.collect()} == set(metrics.BUILTIN)

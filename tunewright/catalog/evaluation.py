@@ -138,13 +138,14 @@ def pair(spark, sf):
 
 def grams_sql(src: str, column: str, n: int, out: str) -> str:
     """CTE ``out(id, g, n)``: n-gram counts per id."""
-    runs = " || ' ' || ".join(f"w[i + {k}]" for k in range(n))
+    runs = " || ' ' || ".join(f"lead(w, {k}) OVER o" if k else "w" for k in range(n))
     return f"""{out} AS (
   SELECT id, g, count(*) AS n FROM (
     SELECT id, {runs} AS g FROM (
-      SELECT id, w, unnest(range(1, len(w) + {2 - n})) AS i FROM (
+      SELECT id, unnest(w) AS w, unnest(range(len(w))) AS i FROM (
         SELECT id, list_filter(regexp_split_to_array(lower({column}), '[^a-z0-9]+'),
-                               lambda x: x <> '') AS w FROM {src})))
+                               lambda x: x <> '') AS w FROM {src}))
+    WINDOW o AS (PARTITION BY id ORDER BY i)) WHERE g IS NOT NULL
   GROUP BY 1, 2)"""
 
 

@@ -226,7 +226,8 @@ def training_log(spark, sf):
     f"""WITH {LOG_SQL}
 SELECT run_id, step, 'train' AS series, loss AS value FROM log WHERE loss IS NOT NULL
 UNION ALL SELECT run_id, step, 'train', train_loss FROM log WHERE train_loss IS NOT NULL
-UNION ALL SELECT run_id, step, 'eval', eval_loss FROM log WHERE eval_loss IS NOT NULL""",
+UNION ALL SELECT run_id, step, 'eval', eval_loss FROM log WHERE eval_loss IS NOT NULL
+UNION ALL SELECT run_id, step, 'learning_rate', learning_rate FROM log WHERE learning_rate IS NOT NULL""",
 )
 def loss_curve(spark, sf):
     return report.loss_curve(track.log_entries(log_rows(spark, sf)), "run_id")

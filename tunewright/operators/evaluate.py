@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,6 +12,7 @@ from tunewright.functions.embed import EmbedderFactory
 from tunewright.functions.token_vectors import TokenEncoderFactory
 from tunewright.operators import guard, infer, metrics
 from tunewright.operators.prompt import render, strip_prompt, with_system
+from tunewright.session import store
 from tunewright.specs import EvalSpec
 
 
@@ -68,7 +68,7 @@ def evaluate(
     token_encoder: TokenEncoderFactory | None = None,
 ) -> DataFrame:
     """All metrics as one long table. Call on pairs that are stored or cheap to recompute."""
-    return metrics.run_all(pairs, [*metrics.build(names, key, embedder, token_encoder), *extra])
+    return metrics.run_all(pairs, [*metrics.build(names, embedder, token_encoder), *extra])
 
 
 def evaluate_model(
@@ -76,8 +76,11 @@ def evaluate_model(
     extra: Sequence[metrics.Metric] = (), embedder: EmbedderFactory | None = None,
     token_encoder: TokenEncoderFactory | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """Predict once, then score. Returns the results and the persisted pairs (unpersist them)."""
-    pairs = predict_pairs(df, spec, key, factory, embedder).persist(StorageLevel.MEMORY_AND_DISK)
+    """Predict once, store the answers, then score. Returns the results and the stored pairs.
+
+    Stored, not cached: a lost executor must not ask the model again and get other answers.
+    """
+    pairs = store(predict_pairs(df, spec, key, factory, embedder), "predictions")
     return evaluate(pairs, spec.metrics, key, extra, embedder, token_encoder), pairs
 
 

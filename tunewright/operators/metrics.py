@@ -9,7 +9,8 @@ pair.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Sequence
-from functools import partial, reduce
+from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -31,12 +32,57 @@ TINY = 1e-9  # fixed value: keeps refusal ratios from dividing by zero
 
 def long_table(df: DataFrame, metric: str, values: dict[str, Column], by: Sequence[str] = ()):
     """Aggregate once, then turn the value columns into rows."""
-    cols = [F.round(F.coalesce(v, F.lit(0.0)), 6).alias(k) for k, v in values.items()]
-    wide = df.groupBy(*by).agg(*cols)
+    return _long(df, [(metric, k, v) for k, v in values.items()], by)
+
+
+def _long(df: DataFrame, values: Sequence[tuple[str, str, Column]], by: Sequence[str]) -> DataFrame:
+    cells = [F.round(F.coalesce(v, F.lit(0.0)), 6) for _, _, v in values]
+    wide = df.groupBy(*by).agg(*[c.alias(f"_value{i}") for i, c in enumerate(cells)])
     rows = F.array(
-        *[F.struct(F.lit(k).alias("sub_metric"), F.col(k).alias("value")) for k in values]
+        *[
+            F.struct(
+                F.lit(metric).alias("metric"),
+                F.lit(sub).alias("sub_metric"),
+                F.col(f"_value{i}").alias("value"),
+            )
+            for i, (metric, sub, _) in enumerate(values)
+        ]
     )
-    return wide.select(*by, F.lit(metric).alias("metric"), F.inline(rows))
+    return wide.select(*by, F.inline(rows))
+
+
+@dataclass(frozen=True)
+class RowMetric:
+    """A metric whose values aggregate scores of single rows.
+
+    ``rows`` gives the score columns of a pairs table, ``values`` the aggregates over them. Several
+    such metrics run in one pass over the pairs.
+    """
+
+    name: str
+    rows: Callable[[DataFrame], dict[str, Column]]
+    values: Callable[[], dict[str, Column]]
+
+    def __call__(self, pairs: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+        return in_one_pass(pairs, [self], by)
+
+
+def in_one_pass(pairs: DataFrame, metrics: Sequence[RowMetric], by: Sequence[str] = ()) -> DataFrame:
+    """One select of all row scores (with the group columns), one aggregate."""
+    columns, values = [F.col(c) for c in by], []
+    for i, m in enumerate(metrics):
+        # names of their own: two metrics may score under one name
+        columns += [c.alias(f"_{i}_{k}") for k, c in m.rows(pairs).items()]
+        values += [(m.name, k, _renamed(v, i)) for k, v in m.values().items()]
+    return _long(pairs.select(*columns), values, by)
+
+
+def _renamed(value: Callable[[Callable[[str], Column]], Column], i: int) -> Column:
+    return value(lambda name: F.col(f"_{i}_{name}"))
+
+
+def _mean(name: str):
+    return lambda col: F.avg(col(name))
 
 
 # ROUGE ------------------------------------------------------------------------------------------
@@ -47,45 +93,89 @@ def _f1(overlap: Column, predicted: Column, expected: Column) -> Column:
     return F.when(overlap > 0, 2.0 * overlap / (predicted + expected)).otherwise(0.0)
 
 
-def _tokens(pairs: DataFrame, stem: bool) -> DataFrame:
-    p, r = tx.score_tokens(F.col("prediction")), tx.score_tokens(F.col("reference"))
-    if stem:
-        p, r = stem_tokens(p), stem_tokens(r)
-    return pairs.withColumns({"_p": p, "_r": r})
-
+def _tokens(stem: bool) -> tuple[Column, Column]:
+    sides = tx.score_tokens(F.col("prediction")), tx.score_tokens(F.col("reference"))
+    return tuple(map(stem_tokens, sides)) if stem else sides
 
-def _by_key(tokens: DataFrame, key: str) -> DataFrame:
-    """Hash partition token arrays by key, once.
 
-    Both texts of a pair are in one row, so after this the counts per (key, n-gram) and per key
-    aggregate in place: n-grams, far larger than the texts, are never shuffled. It comes after the
-    Python steps, which would hide the partitioning from the planner.
-    """
-    parts = int(tokens.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return tokens.repartition(parts, key)
+def _coded(p: pa.Array, r: pa.Array) -> tuple[list[np.ndarray], list[np.ndarray], int]:
+    """Row and token number of every token of both sides, and how many numbers there are."""
+    coded = pa.concat_arrays([p.flatten(), r.flatten()]).dictionary_encode()
+    rows = [pc.list_parent_indices(side).to_numpy() for side in (p, r)]
+    sides = np.split(coded.indices.to_numpy().astype(np.int64), [len(rows[0])])
+    return rows, sides, max(1, len(coded.dictionary))
+
+
+def _grams(rows: list, sides: list, words: int, n: int) -> tuple[list, list, int]:
+    """Row and number of every n-gram: each is the (n-1)-gram before it and one more token."""
+    at, gram, size = rows, sides, words
+    for k in range(1, n):
+        whole = [len(x) - k for x in sides]
+        ends = [x[k:] for x in sides]
+        same = [x[k:] == x[:-k] if len(x) > k else np.zeros(0, bool) for x in rows]
+        head = [g[: max(0, m)] for g, m in zip(gram, whole, strict=True)]
+        keys = [h * words + e for h, e in zip(head, ends, strict=True)]
+        _, numbers = np.unique(np.concatenate(keys), return_inverse=True)
+        size = int(numbers.max(initial=0)) + 1
+        gram = np.split(numbers, [len(keys[0])])
+        at = [np.where(ok, x[: len(ok)], -1) for ok, x in zip(same, rows, strict=True)]
+    kept = [x >= 0 for x in at]
+    return (
+        [x[k] for x, k in zip(at, kept, strict=True)],
+        [g[k] for g, k in zip(gram, kept, strict=True)],
+        size,
+    )
 
 
-def rouge_n_scores(pairs: DataFrame, key: str, n: int, stem: bool = True, out: str | None = None):
-    """ROUGE-n F1 per key."""
-    out = out or f"rouge{n}"
-    tokens = _by_key(_tokens(pairs, stem).select(key, "_p", "_r"), key)
-    grams = tokens.select(
-        key,
-        F.explode_outer(
-            F.array(
-                F.struct(F.lit(1).alias("p"), tx.ngrams(F.col("_p"), n).alias("grams")),
-                F.struct(F.lit(0).alias("p"), tx.ngrams(F.col("_r"), n).alias("grams")),
-            )
-        ).alias("side"),
-    ).select(key, "side.p", F.explode_outer("side.grams").alias("gram"))
-    counts = grams.groupBy(key, "gram").agg(
-        F.sum(F.when(F.col("gram").isNotNull(), F.col("p")).otherwise(0)).alias("p"),
-        F.sum(F.when(F.col("gram").isNotNull(), 1 - F.col("p")).otherwise(0)).alias("r"),
+def _clipped(rows: list, grams: list, size: int, n: int) -> np.ndarray:
+    """Per row the n-grams that both sides share, each as often as the side that has fewer."""
+    (a, na), (b, nb) = (
+        np.unique(row * size + gram, return_counts=True) for row, gram in zip(rows, grams, strict=True)
     )
-    sums = counts.groupBy(key).agg(
-        F.sum(F.least("p", "r")).alias("o"), F.sum("p").alias("p"), F.sum("r").alias("r")
+    both, ia, ib = np.intersect1d(a, b, assume_unique=True, return_indices=True)
+    return np.bincount(both // size, weights=np.minimum(na[ia], nb[ib]), minlength=n).astype(np.int64)
+
+
+def _longs(*names: str) -> T.StructType:
+    return T.StructType([T.StructField(n, T.LongType()) for n in names])
+
+
+@F.arrow_udf(_longs("n1", "n2", "lcs", "p", "r"))
+def _shared(p: pa.Array, r: pa.Array) -> pa.Array:
+    """Shared unigrams and bigrams, longest common subsequence, and the tokens of each side."""
+    rows, sides, words = _coded(p, r)
+    ones = _clipped(*_grams(rows, sides, words, 1), len(p))
+    twos = _clipped(*_grams(rows, sides, words, 2), len(p))
+    sizes = [np.bincount(x, minlength=len(p)) for x in rows]
+    return pa.StructArray.from_arrays(
+        [pa.array(x, pa.int64()) for x in (ones, twos, _lcs(rows, sides, words, len(p)), *sizes)],
+        names=["n1", "n2", "lcs", "p", "r"],
     )
-    return sums.select(key, _f1(F.col("o"), F.col("p"), F.col("r")).alias(out))
+
+
+def _overlap(n: int):
+    @F.arrow_udf(_longs("n", "p", "r"))
+    def overlap(p: pa.Array, r: pa.Array) -> pa.Array:
+        rows, sides, words = _coded(p, r)
+        shared = _clipped(*_grams(rows, sides, words, n), len(p))
+        sizes = [np.bincount(x, minlength=len(p)) for x in rows]
+        return pa.StructArray.from_arrays(
+            [pa.array(x, pa.int64()) for x in (shared, *sizes)], names=["n", "p", "r"]
+        )
+
+    return overlap
+
+
+def _of_grams(overlap: Column, s: Column, n: int) -> Column:
+    p, r = (F.greatest(s[k] - (n - 1), F.lit(0)) for k in ("p", "r"))
+    return _f1(overlap, p, r)
+
+
+def rouge_n_scores(pairs: DataFrame, key: str, n: int, stem: bool = True, out: str | None = None):
+    """ROUGE-n F1 per row. A map: both texts are in the row, so n-grams are counted there."""
+    s = F.col("_s")
+    scored = pairs.select(key, _overlap(n)(*_tokens(stem)).alias("_s"))
+    return scored.select(key, _of_grams(s["n"], s, n).alias(out or f"rouge{n}"))
 
 
 def lcs_length(a: list, b: list) -> int:
@@ -105,101 +195,82 @@ def lcs_length(a: list, b: list) -> int:
     return len(a) - row.bit_count()
 
 
-@F.arrow_udf(T.IntegerType())
-def _lcs(p: pa.Array, r: pa.Array) -> pa.Array:
-    """Tokens become numbers, and those that the other text of the pair lacks are left out."""
-    if not len(p):
-        return pa.array([], pa.int32())
-    coded = pa.concat_arrays([p.flatten(), r.flatten()]).dictionary_encode()
-    codes, words = coded.indices.to_numpy(), len(coded.dictionary)
-    rows = [pc.list_parent_indices(side).to_numpy() for side in (p, r)]
-    sides = np.split(codes, [len(rows[0])])
-    keys = [row * words + code for row, code in zip(rows, sides)]
+def _lcs(rows: list, sides: list, words: int, n: int) -> np.ndarray:
+    """Per row; tokens that the other text of the pair lacks are left out first."""
+    keys = [row * words + code for row, code in zip(rows, sides, strict=True)]
     shared = []
     for mine, other in ((0, 1), (1, 0)):
         keep = np.isin(keys[mine], keys[other])
-        ends = np.bincount(rows[mine][keep], minlength=len(p)).cumsum()
+        ends = np.bincount(rows[mine][keep], minlength=n).cumsum()
         shared.append([x.tolist() for x in np.split(sides[mine][keep], ends[:-1])])
-    return pa.array([lcs_length(a, b) for a, b in zip(*shared)], pa.int32())
+    return np.array([lcs_length(a, b) for a, b in zip(*shared, strict=True)][:n], np.int64)
 
 
-def rouge_l_scores(pairs: DataFrame, key: str, stem: bool = True, out: str = "rougeL"):
-    """ROUGE-L F1 per key. A map over the rows."""
-    tokens = _tokens(pairs, stem)
-    return tokens.select(
-        key, _f1(_lcs("_p", "_r"), F.size("_p"), F.size("_r")).alias(out)
-    )
+ROUGE = ("rouge1", "rouge2", "rougeL")
 
 
-def rouge_scores(pairs: DataFrame, key: str, stem: bool = True) -> DataFrame:
-    """ROUGE-1, ROUGE-2 and ROUGE-L F1 per key.
+def _rouge_parts(s: Column) -> dict[str, Column]:
+    scores = _of_grams(s["n1"], s, 1), _of_grams(s["n2"], s, 2), _f1(s["lcs"], s["p"], s["r"])
+    return dict(zip(ROUGE, scores, strict=True))
 
-    One pass: tokens are made once, ROUGE-L is computed before the n-grams are spread out and
-    rides along, and everything stays in the partitioning by key.
-    """
-    longest = _f1(_lcs("_p", "_r"), F.size("_p"), F.size("_r")).alias("_l")
-    base = _by_key(_tokens(pairs, stem).select(key, "_p", "_r", longest), key)
 
-    def side(n: int, source: str, p: int) -> Column:
-        return F.struct(
-            F.lit(n).alias("n"), F.lit(p).alias("p"), tx.ngrams(F.col(source), n).alias("grams")
-        )
+def rouge_scores(pairs: DataFrame, key: str, stem: bool = True) -> DataFrame:
+    """ROUGE-1, ROUGE-2 and ROUGE-L F1 per row. A map over the rows."""
+    scored = pairs.select(key, _shared(*_tokens(stem)).alias("_s"))
+    return scored.select(key, *[c.alias(k) for k, c in _rouge_parts(F.col("_s")).items()])
 
-    sides = F.array(side(1, "_p", 1), side(1, "_r", 0), side(2, "_p", 1), side(2, "_r", 0))
-    grams = base.select(key, "_l", F.explode(sides).alias("side")).select(
-        key, "_l", "side.n", "side.p", F.explode_outer("side.grams").alias("gram")
-    )
-    present = F.col("gram").isNotNull()
-    counts = grams.groupBy(key, "n", "gram").agg(
-        F.max("_l").alias("_l"),
-        F.sum(F.when(present, F.col("p")).otherwise(0)).alias("p"),
-        F.sum(F.when(present, 1 - F.col("p")).otherwise(0)).alias("r"),
-    )
 
-    def total(n: int, c: Column) -> Column:
-        return F.sum(F.when(F.col("n") == n, c).otherwise(0))
+def rouge_l_scores(pairs: DataFrame, key: str, stem: bool = True, out: str = "rougeL"):
+    """ROUGE-L F1 per row. A map over the rows."""
+    return rouge_scores(pairs, key, stem).select(key, F.col("rougeL").alias(out))
 
-    sums = counts.groupBy(key).agg(
-        F.max("_l").alias("rougeL"),
-        *[total(n, F.least("p", "r")).alias(f"o{n}") for n in (1, 2)],
-        *[total(n, F.col("p")).alias(f"p{n}") for n in (1, 2)],
-        *[total(n, F.col("r")).alias(f"r{n}") for n in (1, 2)],
-    )
-    return sums.select(
-        key,
-        *[_f1(F.col(f"o{n}"), F.col(f"p{n}"), F.col(f"r{n}")).alias(f"rouge{n}") for n in (1, 2)],
-        "rougeL",
-    )
 
+def rouge_metric(stem: bool = True) -> RowMetric:
+    def mean(name: str):
+        return lambda col: F.avg(_rouge_parts(col("shared"))[name])
 
-def _with_groups(pairs: DataFrame, scores: DataFrame, key: str, by: Sequence[str]) -> DataFrame:
-    return scores.join(pairs.select(key, *by), key) if by else scores
+    return RowMetric(
+        "rouge",
+        lambda pairs: {"shared": _shared(*_tokens(stem))},
+        lambda: {k: mean(k) for k in ROUGE},
+    )
 
 
 def rouge(pairs: DataFrame, key: str = "id", stem: bool = True, by: Sequence[str] = ()):
-    scores = _with_groups(pairs, rouge_scores(pairs, key, stem), key, by)
-    return long_table(
-        scores, "rouge", {k: F.avg(k) for k in ("rouge1", "rouge2", "rougeL")}, by
-    )
+    return rouge_metric(stem)(pairs, by)
 
 
 # BERTScore --------------------------------------------------------------------------------------
 
 
+BERTSCORE = ("bertscore_precision", "bertscore_recall", "bertscore_f1")
+
+
+def _bertscore(pairs: DataFrame, factory: TokenEncoderFactory | None) -> dict[str, Column]:
+    p, r = tx.score_tokens(F.col("prediction")), tx.score_tokens(F.col("reference"))
+    return {"pair": best_match_scores(p, r, factory)}
+
+
+def _bertscore_parts(pair: Column) -> dict[str, Column]:
+    both = pair[0] + pair[1]
+    f1 = F.when(both != 0, 2 * pair[0] * pair[1] / both).otherwise(0.0)
+    return dict(zip(BERTSCORE, (pair[0], pair[1], f1), strict=True))
+
+
 def bertscore_scores(
     pairs: DataFrame, key: str, factory: TokenEncoderFactory | None = None
 ) -> DataFrame:
     """Greedy token matching per key: precision, recall, F1. A map over the rows."""
-    p, r = tx.score_tokens(F.col("prediction")), tx.score_tokens(F.col("reference"))
-    found = best_match_scores(p, r, factory)
-    scored = pairs.select(key, found.alias("_s"))
-    both = F.col("_s")[0] + F.col("_s")[1]
-    f1 = F.when(both != 0, 2 * F.col("_s")[0] * F.col("_s")[1] / both).otherwise(0.0)
-    return scored.select(
-        key,
-        F.col("_s")[0].alias("bertscore_precision"),
-        F.col("_s")[1].alias("bertscore_recall"),
-        f1.alias("bertscore_f1"),
+    scored = pairs.select(key, _bertscore(pairs, factory)["pair"].alias("_s"))
+    return scored.select(key, *[c.alias(k) for k, c in _bertscore_parts(F.col("_s")).items()])
+
+
+def bertscore_metric(factory: TokenEncoderFactory | None = None) -> RowMetric:
+    def mean(name: str):
+        return lambda col: F.avg(_bertscore_parts(col("pair"))[name])
+
+    return RowMetric(
+        "bertscore", lambda pairs: _bertscore(pairs, factory), lambda: {k: mean(k) for k in BERTSCORE}
     )
 
 
@@ -207,35 +278,44 @@ def bertscore(
     pairs: DataFrame, key: str = "id", factory: TokenEncoderFactory | None = None,
     by: Sequence[str] = (),
 ) -> DataFrame:
-    names = ("bertscore_precision", "bertscore_recall", "bertscore_f1")
-    scores = _with_groups(pairs, bertscore_scores(pairs, key, factory), key, by)
-    return long_table(scores, "bertscore", {k: F.avg(k) for k in names}, by)
+    return bertscore_metric(factory)(pairs, by)
 
 
 # Semantic similarity ----------------------------------------------------------------------------
 
 
+def _similarity(
+    embedder: em.EmbedderFactory | None, vectors: tuple[str, str] | None
+) -> Column:
+    if vectors:
+        p, r = (F.col(c).cast("array<double>") for c in vectors)
+    else:
+        p, r = em.embed(F.col("prediction"), embedder), em.embed(F.col("reference"), embedder)
+    return vx.soft_cosine(p, r)
+
+
 def semantic_similarity_scores(
     pairs: DataFrame, key: str, embedder: em.EmbedderFactory | None = None,
     vectors: tuple[str, str] | None = None,
 ) -> DataFrame:
     """``p.r / (|p||r| + 1e-8)`` per key, over given vector columns or embedded texts."""
-    if vectors:
-        p, r = (F.col(c).cast("array<double>") for c in vectors)
-    else:
-        p, r = em.embed(F.col("prediction"), embedder), em.embed(F.col("reference"), embedder)
-    return pairs.select(key, vx.soft_cosine(p, r).alias("semantic_similarity"))
+    return pairs.select(key, _similarity(embedder, vectors).alias("semantic_similarity"))
+
+
+def similarity_metric(
+    embedder: em.EmbedderFactory | None = None, vectors: tuple[str, str] | None = None
+) -> RowMetric:
+    name = "semantic_similarity"
+    return RowMetric(
+        name, lambda pairs: {name: _similarity(embedder, vectors)}, lambda: {name: _mean(name)}
+    )
 
 
 def semantic_similarity(
     pairs: DataFrame, key: str = "id", embedder: em.EmbedderFactory | None = None,
     vectors: tuple[str, str] | None = None, by: Sequence[str] = (),
 ) -> DataFrame:
-    scores = semantic_similarity_scores(pairs, key, embedder, vectors)
-    scores = _with_groups(pairs, scores, key, by)
-    return long_table(
-        scores, "semantic_similarity", {"semantic_similarity": F.avg("semantic_similarity")}, by
-    )
+    return similarity_metric(embedder, vectors)(pairs, by)
 
 
 # Refusal ----------------------------------------------------------------------------------------
@@ -245,39 +325,48 @@ def is_refusal(prediction: Column) -> Column:
     return tx.strip(prediction) == F.lit(REFUSAL_MESSAGE.strip())
 
 
+def refusal_metric() -> RowMetric:
+    def rows(pairs: DataFrame) -> dict[str, Column]:
+        known = "answerable" in pairs.columns
+        answerable = F.coalesce("answerable", F.lit(True)) if known else F.lit(None).cast("boolean")
+        return {
+            "answerable": answerable,
+            "refused": F.coalesce(is_refusal(F.col("prediction")), F.lit(False)),
+        }
+
+    def true(col) -> Column:
+        return F.count_if(~col("answerable") & col("refused"))
+
+    def false(col) -> Column:
+        return F.count_if(col("answerable") & col("refused"))
+
+    return RowMetric(
+        "refusal",
+        rows,
+        lambda: {
+            "refusal_precision": lambda col: true(col) / (true(col) + false(col) + F.lit(TINY)),
+            "refusal_recall": lambda col: true(col) / (F.count_if(~col("answerable")) + F.lit(TINY)),
+            "false_refusal_rate": lambda col: F.try_divide(false(col).cast("double"), F.count("*")),
+        },
+    )
+
+
 def refusal(pairs: DataFrame, key: str = "id", by: Sequence[str] = ()) -> DataFrame:
     """Precision and recall of refusing, and false refusals among **all** rows.
 
     Without an ``answerable`` column all values are zero. A null there counts as answerable.
     """
-    if "answerable" not in pairs.columns:
-        zero = F.max(F.lit(0.0))
-        names = ("refusal_precision", "refusal_recall", "false_refusal_rate")
-        return long_table(pairs, "refusal", {k: zero for k in names}, by)
-    answerable = F.coalesce("answerable", F.lit(True))
-    refused = F.coalesce(is_refusal(F.col("prediction")), F.lit(False))
-    tp = F.count_if(~answerable & refused)
-    fp = F.count_if(answerable & refused)
-    unanswerable = F.count_if(~answerable)
-    return long_table(
-        pairs,
-        "refusal",
-        {
-            "refusal_precision": tp / (tp + fp + F.lit(TINY)),
-            "refusal_recall": tp / (unanswerable + F.lit(TINY)),
-            "false_refusal_rate": F.try_divide(fp.cast("double"), F.count("*")),
-        },
-        by,
-    )
+    return refusal_metric()(pairs, by)
 
 
 # Registry and extension -------------------------------------------------------------------------
 
-BUILTIN: dict[str, Callable[..., DataFrame]] = {
-    "rouge": rouge,
-    "bertscore": bertscore,
-    "semantic_similarity": semantic_similarity,
-    "refusal": refusal,
+#: Made from the embedder and the token encoder of a run.
+BUILTIN: dict[str, Callable[..., RowMetric]] = {
+    "rouge": lambda embedder, encoder: rouge_metric(),
+    "bertscore": lambda embedder, encoder: bertscore_metric(encoder),
+    "semantic_similarity": lambda embedder, encoder: similarity_metric(embedder),
+    "refusal": lambda embedder, encoder: refusal_metric(),
 }
 
 
@@ -290,30 +379,27 @@ def from_row_scorer(
     def score(p: pa.Array, r: pa.Array) -> pa.Array:
         return pa.array(np.asarray(list(scorer(p.to_pylist(), r.to_pylist())), dtype=np.float64))
 
-    def metric(pairs: DataFrame) -> DataFrame:
-        scored = pairs.select(score("prediction", "reference").alias("_s"))
-        return long_table(scored, name, {sub_metric: F.avg("_s")})
-
-    return metric
+    return RowMetric(
+        name,
+        lambda pairs: {"score": score("prediction", "reference")},
+        lambda: {sub_metric: _mean("score")},
+    )
 
 
 def build(
-    names: Sequence[str], key: str = "id", embedder: em.EmbedderFactory | None = None,
+    names: Sequence[str], embedder: em.EmbedderFactory | None = None,
     token_encoder: TokenEncoderFactory | None = None,
 ) -> list[Metric]:
     """Metrics by name; an unknown name raises."""
-    options = {
-        "semantic_similarity": {"embedder": embedder},
-        "bertscore": {"factory": token_encoder},
-    }
-    out = []
-    for name in names:
-        if name not in BUILTIN:
-            raise ValueError(f"Unknown metric {name!r}. Available: {sorted(BUILTIN)}")
-        out.append(partial(BUILTIN[name], key=key, **options.get(name, {})))
-    return out
+    odd = [n for n in names if n not in BUILTIN]
+    if odd:
+        raise ValueError(f"no metric {odd[0]!r}; there are {', '.join(sorted(BUILTIN))}")
+    return [BUILTIN[n](embedder, token_encoder) for n in names]
 
 
 def run_all(pairs: DataFrame, metrics: Sequence[Metric]) -> DataFrame:
-    tables = [m(pairs) for m in metrics]
+    """Metrics over rows share one pass; any other function of the pairs has its own."""
+    rows = [m for m in metrics if isinstance(m, RowMetric)]
+    tables = [in_one_pass(pairs, rows)] if rows else []
+    tables += [m(pairs) for m in metrics if not isinstance(m, RowMetric)]
     return reduce(DataFrame.unionByName, tables)

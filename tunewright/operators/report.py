@@ -17,11 +17,17 @@ def history(metrics: DataFrame, key: str | None = None) -> DataFrame:
 
 
 def loss_curve(log: DataFrame, run_id: str | None = None) -> DataFrame:
-    """``(step, series, value)``: train loss from ``loss`` and ``train_loss``, and eval loss."""
+    """``(step, series, value)``: train loss from ``loss`` and ``train_loss``, eval loss, and the
+    learning rate."""
     keep = [run_id] if run_id else []
     sources = [
         (name, series)
-        for name, series in (("loss", "train"), ("train_loss", "train"), ("eval_loss", "eval"))
+        for name, series in (
+            ("loss", "train"),
+            ("train_loss", "train"),
+            ("eval_loss", "eval"),
+            ("learning_rate", "learning_rate"),
+        )
         if name in log.columns
     ]
     cells = F.array(

@@ -114,3 +114,4 @@ class DataSpec:
     prompt: PromptSpec = PromptSpec()
     sample_after_clean: bool = False
     model_name: str | None = None
+    use_model_template: bool = True
