@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tunewright.functions import stem
 from tunewright.functions.text import WHITESPACE
 
 
@@ -135,3 +136,90 @@ def farthest_sql(src: str, n: int, out: str) -> str:
   FROM {out}_s s, (SELECT h, v FROM {out}_s ORDER BY m, h LIMIT 1) p
   WHERE s.step < {n} - 1),
 {out} AS (SELECT id, step AS pick FROM {out}_s WHERE picked)"""
+
+
+# Suffix stripping in SQL ------------------------------------------------------------------------
+
+
+def _shape_sql(e: str) -> str:
+    """c(onsonant) or v(owel) for each character; a y after a consonant is a vowel."""
+    out = f"translate({e}, 'aeioubcdfghjklmnpqrstvwxz0123456789', 'vvvvv{'c' * 30}')"
+    out = f"regexp_replace({out}, '^y', 'c')"
+    for _ in range(4):  # as many as letters y stand in a row
+        out = f"replace(replace({out}, 'cy', 'cv'), 'vy', 'vc')"
+    return out
+
+
+def _measure_sql(shape: str) -> str:
+    return f"((len({shape}) - len(replace({shape}, 'vc', ''))) // 2)"
+
+
+def _cvc_sql(w: str, shape: str) -> str:
+    return (
+        f"((ends_with({shape}, 'cvc') AND right({w}, 1) NOT IN ('w', 'x', 'y')) "
+        f"OR (len({w}) = 2 AND {shape} = 'vc'))"
+    )
+
+
+def _suffix_sql(suffixes: list[tuple[str, str, str]], name: str, src: str, ok: str) -> str:
+    """CTEs for a step that takes the first suffix that fits: (suffix, replacement, tested part)."""
+
+    def case(value) -> str:
+        return " ".join(f"WHEN ends_with(w, '{s}') THEN {value(s, n, t)}" for s, n, t in suffixes)
+
+    return f"""{name}_c AS (
+  SELECT token, w, CASE {case(lambda s, n, t: f"left(w, -{len(s)})")} END AS base,
+    CASE {case(lambda s, n, t: f"'{n}'")} END AS new, CASE {case(lambda s, n, t: f"'{s}'")} END AS suffix,
+    CASE {case(lambda s, n, t: t)} END AS tested FROM {src}),
+{name}_s AS (SELECT *, {_shape_sql("tested")} AS shape FROM {name}_c),
+{name} AS MATERIALIZED (
+  SELECT token, CASE WHEN base IS NOT NULL AND {ok} THEN base || new ELSE w END AS w FROM {name}_s)"""
+
+
+def stem_sql(src: str, out: str) -> str:
+    """CTEs that stem the distinct tokens ``src(token)`` into ``out(token, stem)``."""
+    m = _measure_sql
+    fixed = " ".join(f"WHEN token = '{a}' THEN '{b}'" for a, b in stem.IRREGULAR.items())
+    derived = [(s, n, "left(w, -3)" if s == "logi" else f"left(w, -{len(s)})") for s, n in stem.STEP2]
+    plain = lambda pairs: [(s, n, f"left(w, -{len(s)})") for s, n in pairs]
+    return f"""{out}_a AS MATERIALIZED (
+  SELECT token, CASE
+    WHEN ends_with(token, 'ies') AND len(token) = 4 THEN left(token, -1)
+    WHEN ends_with(token, 'sses') OR ends_with(token, 'ies') THEN left(token, -2)
+    WHEN ends_with(token, 'ss') THEN token WHEN ends_with(token, 's') THEN left(token, -1)
+    ELSE token END AS w FROM {src}),
+{out}_b1 AS (
+  SELECT *, CASE WHEN ends_with(w, 'ed') THEN left(w, -2) WHEN ends_with(w, 'ing') THEN left(w, -3)
+            END AS base FROM {out}_a),
+{out}_b2 AS (
+  SELECT *, {_shape_sql("base")} AS shape, {_shape_sql("left(w, -3)")} AS eed FROM {out}_b1),
+{out}_b AS MATERIALIZED (
+  SELECT token, CASE
+    WHEN ends_with(w, 'ied') THEN CASE WHEN len(w) = 4 THEN left(w, -1) ELSE left(w, -2) END
+    WHEN ends_with(w, 'eed') THEN CASE WHEN {m("eed")} > 0 THEN left(w, -1) ELSE w END
+    WHEN base IS NULL OR NOT contains(shape, 'v') THEN w
+    WHEN right(base, 2) IN ('at', 'bl', 'iz') THEN base || 'e'
+    WHEN len(base) >= 2 AND right(base, 1) = left(right(base, 2), 1) AND ends_with(shape, 'c')
+      THEN CASE WHEN right(base, 1) IN ('l', 's', 'z') THEN base ELSE left(base, -1) END
+    WHEN {m("shape")} = 1 AND {_cvc_sql("base", "shape")} THEN base || 'e' ELSE base END AS w
+  FROM {out}_b2),
+{out}_c AS MATERIALIZED (
+  SELECT token, CASE WHEN ends_with(w, 'y') AND len(w) > 2
+      AND ends_with({_shape_sql("left(w, -1)")}, 'c') THEN left(w, -1) || 'i' ELSE w END AS w
+  FROM {out}_b),
+{out}_d AS MATERIALIZED (
+  SELECT token, CASE WHEN ends_with(w, 'alli') AND {m(_shape_sql("left(w, -4)"))} > 0
+                THEN left(w, -2) ELSE w END AS w FROM {out}_c),
+{_suffix_sql(derived, f"{out}_e", f"{out}_d", f"{m('shape')} > 0")},
+{_suffix_sql(plain(stem.STEP3), f"{out}_f", f"{out}_e", f"{m('shape')} > 0")},
+{_suffix_sql(plain([(s, "") for s in stem.STEP4]), f"{out}_g", f"{out}_f",
+             f"{m('shape')} > 1 AND (suffix <> 'ion' OR right(base, 1) IN ('s', 't'))")},
+{out}_h1 AS (SELECT *, left(w, -1) AS base, {_shape_sql("left(w, -1)")} AS shape FROM {out}_g),
+{out}_h AS MATERIALIZED (
+  SELECT token, CASE WHEN ends_with(w, 'e') AND ({m("shape")} > 1
+      OR ({m("shape")} = 1 AND NOT {_cvc_sql("base", "shape")})) THEN base ELSE w END AS w
+  FROM {out}_h1),
+{out} AS MATERIALIZED (
+  SELECT token, CASE WHEN len(token) <= 3 THEN token {fixed}
+    WHEN ends_with(w, 'll') AND {m(_shape_sql("left(w, -1)"))} > 1 THEN left(w, -1) ELSE w END AS stem
+  FROM {out}_h)"""

@@ -10,6 +10,7 @@ from tunewright.catalog.common import (
     LABELLED_SQL,
     chat_pairs,
     hash_sql,
+    stem_sql,
     labelled,
     padded,
     padded_sql,
@@ -251,6 +252,25 @@ def build_text(spark, sf):
     return d.select("doc_id", tx.build_text(d, ["lang", "quality", "text"]).alias("built"))
 
 
+@query(
+    "default_text_columns",
+    f"""WITH {CHAT_SQL}
+SELECT 'chat' AS src, id::VARCHAR AS id, instruction || ' ' || input AS built FROM chat
+UNION ALL SELECT 'documents', doc_id::VARCHAR, text FROM documents""",
+)
+def default_text_columns(spark, sf):
+    """Instruction and input where a table has both, else its first text column."""
+    out = []
+    for name, d, key in (
+        ("chat", chat_pairs(spark, sf), "id"),
+        ("documents", table(spark, sf, "documents"), "doc_id"),
+    ):
+        text = tx.build_text(d, tx.default_text_columns(d))
+        id_ = F.col(key).cast("string").alias("id")
+        out.append(d.select(F.lit(name).alias("src"), id_, text.alias("built")))
+    return out[0].unionByName(out[1])
+
+
 @query("length_filter", "SELECT doc_id FROM documents WHERE length(text) BETWEEN 20 AND 4000")
 def length_filter(spark, sf):
     d = table(spark, sf, "documents")
@@ -387,13 +407,14 @@ def split_distribution(spark, sf):
 
 @query(
     "split_sink",
-    f"WITH {split_sql('documents', 'doc_id')} SELECT doc_id, split FROM split WHERE split = 'test'",
+    f"WITH {split_sql('documents', 'doc_id')} SELECT doc_id, text, split FROM split",
 )
 def split_sink(spark, sf):
     path = scratch_path(spark, "splits")
     d = table(spark, sf, "documents").select("doc_id", "text")
     sinks.write_splits(sp.split(d, SplitSpec(), "doc_id"), path)
-    return tables.load(spark, path, split="test").select("doc_id", "split")
+    parts = [tables.load(spark, path, split=name) for name in sp.NAMES]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).select("doc_id", "text", "split")
 
 
 # Prompts ----------------------------------------------------------------------------------------
@@ -515,7 +536,14 @@ def tokenize(spark, sf):
     )
 
 
-@query("stem_vocabulary")
+@query(
+    "stem_vocabulary",
+    f"""WITH words AS (
+  SELECT unnest(list_filter(regexp_split_to_array(lower(text), '[^a-z0-9]+'), lambda x: x <> '')) AS token
+  FROM documents),
+counts AS MATERIALIZED (SELECT token, count(*) AS n FROM words GROUP BY 1), {stem_sql("counts", "stems")}
+SELECT token, stem, n FROM stems JOIN counts USING (token)""",
+)
 def stem_vocabulary(spark, sf):
     d = spread(table(spark, sf, "documents"))
     return stem_vocab(d, tx.score_tokens(F.col("text")))

@@ -13,6 +13,7 @@ from tunewright.catalog.common import (
     embed_sql,
     labelled,
     padded,
+    stem_sql,
     strip_sql,
     table,
 )
@@ -136,6 +137,32 @@ def pair(spark, sf):
 # ROUGE ------------------------------------------------------------------------------------------
 
 
+def stems_of_sql(src: str) -> str:
+    """CTEs ``toks(id, side, w, i)`` with stems: side p or r, word, place."""
+    words = lambda c, side: (
+        f"SELECT id, '{side}' AS side, unnest(w) AS token, unnest(range(len(w))) AS i FROM ("
+        f"SELECT id, list_filter(regexp_split_to_array(lower(coalesce({c}, '')), '[^a-z0-9]+'), "
+        f"lambda x: x <> '') AS w FROM {src})"
+    )
+    return f"""raw_toks AS MATERIALIZED ({words("prediction", "p")} UNION ALL {words("reference", "r")}),
+vocabulary AS (SELECT DISTINCT token FROM raw_toks), {stem_sql("vocabulary", "stems")},
+toks AS MATERIALIZED (SELECT id, side, stem AS w, i FROM raw_toks JOIN stems USING (token))"""
+
+
+def stemmed_rouge_sql(src: str, n: int) -> str:
+    """CTE ``s{n}(id, f)``: ROUGE-n F1 over ``toks``."""
+    runs = " || ' ' || ".join(f"lead(w, {k}) OVER o" if k else "w" for k in range(n))
+    return f"""sg{n} AS MATERIALIZED (
+  SELECT id, side, g, count(*) AS n FROM (
+    SELECT id, side, {runs} AS g FROM toks WINDOW o AS (PARTITION BY id, side ORDER BY i))
+  WHERE g IS NOT NULL GROUP BY 1, 2, 3),
+s{n} AS (
+  SELECT x.id, coalesce(2.0 * o / (SELECT sum(n) FROM sg{n} WHERE sg{n}.id = x.id), 0.0)::DOUBLE AS f
+  FROM {src} x LEFT JOIN (
+    SELECT p.id, sum(least(p.n, r.n)) AS o FROM sg{n} p JOIN sg{n} r
+    ON r.id = p.id AND r.g = p.g AND p.side = 'p' AND r.side = 'r' GROUP BY 1) y ON y.id = x.id)"""
+
+
 def grams_sql(src: str, column: str, n: int, out: str) -> str:
     """CTE ``out(id, g, n)``: n-gram counts per id."""
     runs = " || ' ' || ".join(f"lead(w, {k}) OVER o" if k else "w" for k in range(n))
@@ -199,9 +226,34 @@ def rouge_documents(spark, sf):
     return s.select("id", F.round("rouge1", 6).alias("rouge1"), F.round("rouge2", 6).alias("rouge2"))
 
 
-@query("rouge")
+LCS_SQL = """lists AS MATERIALIZED (
+  SELECT pairs.id, coalesce(list(w ORDER BY i) FILTER (side = 'p'), []) AS p,
+         coalesce(list(w ORDER BY i) FILTER (side = 'r'), []) AS r
+  FROM pairs LEFT JOIN toks ON toks.id = pairs.id GROUP BY 1),
+lcs AS (
+  SELECT id, 0 AS i, list_transform(p, lambda x: 0) AS line FROM lists
+  UNION ALL
+  SELECT id, i + 1, list_transform(range(1, len(c) + 1), lambda j: list_max(c[1:j])) FROM (
+    SELECT l.id, l.i, list_transform(range(1, len(t.p) + 1), lambda j: CASE
+      WHEN t.p[j] = t.r[l.i + 1] THEN CASE WHEN j > 1 THEN l.line[j - 1] ELSE 0 END + 1
+      ELSE l.line[j] END) AS c
+    FROM lcs l JOIN lists t ON t.id = l.id WHERE l.i < len(t.r))),
+sl AS (
+  SELECT lists.id, CASE WHEN len(p) = 0 OR len(r) = 0 THEN 0.0
+    ELSE 2.0 * list_max(line) / (len(p) + len(r)) END AS f
+  FROM lists JOIN lcs ON lcs.id = lists.id AND lcs.i = len(r))"""
+
+
+@query(
+    "rouge",
+    f"""WITH RECURSIVE {PAIRS_SQL}, {stems_of_sql("pairs")}, {stemmed_rouge_sql("pairs", 1)},
+{stemmed_rouge_sql("pairs", 2)}, {LCS_SQL}
+SELECT 'rouge' AS metric, 'rouge1' AS sub_metric, round(avg(f), 6) AS value FROM s1
+UNION ALL SELECT 'rouge', 'rouge2', round(avg(f), 6) FROM s2
+UNION ALL SELECT 'rouge', 'rougeL', round(avg(f), 6) FROM sl""",
+)
 def rouge(spark, sf):
-    """With stems and ROUGE-L: checked against brute force in the tests."""
+    """With stems, as users get it."""
     return metrics.rouge(_pairs(spark, sf), "id")
 
 
@@ -410,7 +462,28 @@ def answerable(spark, sf):
 # Run-all, custom metrics, result files ----------------------------------------------------------
 
 
-@query("evaluate_all")
+ALL_PAIRS_SQL = f"""pairs AS MATERIALIZED (
+  SELECT doc_id AS id, source AS reference, 0 AS turn,
+    CASE WHEN toxic = 1 OR quality = 0 AND n_chars > 500 THEN '  {MESSAGE_SQL} ' ELSE text END AS prediction
+  FROM labelled)"""
+
+
+@query(
+    "evaluate_all",
+    f"""WITH {REFUSAL_SQL}, {BERTSCORE_SQL.replace(PAIRS_SQL, ALL_PAIRS_SQL)},
+{SIMILARITY_SQL.replace(f"{PAIRS_SQL},", "").replace("p AS (SELECT", "sp AS (SELECT").replace("r AS (SELECT", "sr AS (SELECT")
+ .replace(embed_sql("p", "pv"), embed_sql("sp", "pv")).replace(embed_sql("r", "rv"), embed_sql("sr", "rv")).strip()},
+{stems_of_sql("pairs")}, {stemmed_rouge_sql("pairs", 1)}, {stemmed_rouge_sql("pairs", 2)}
+{refusal_rows_sql("", "lang IS NULL")}
+UNION ALL SELECT 'bertscore', 'bertscore_precision', round(avg(p), 6) FROM scored
+UNION ALL SELECT 'bertscore', 'bertscore_recall', round(avg(r), 6) FROM scored
+UNION ALL SELECT 'bertscore', 'bertscore_f1', round(avg(f), 6) FROM scored
+UNION ALL SELECT 'semantic_similarity', 'semantic_similarity', round(avg(s), 6) FROM sim
+UNION ALL SELECT 'rouge', 'rouge1', round(avg(f), 6) FROM s1
+UNION ALL SELECT 'rouge', 'rouge2', round(avg(f), 6) FROM s2
+-- the references are single words: the longest common subsequence is the shared word
+UNION ALL SELECT 'rouge', 'rougeL', round(avg(f), 6) FROM s1""",
+)
 def evaluate_all(spark, sf):
     pairs = _refusals(spark, sf)
     names = ("rouge", "bertscore", "semantic_similarity", "refusal")

@@ -130,19 +130,30 @@ def events_current(spark, sf):
 @query(
     "tracking_tables",
     f"""WITH {EVENTS_SQL}
-SELECT 'runs' AS name, count(*) AS n FROM starts
-UNION ALL SELECT 'params', count(DISTINCT (run_id, key)) FROM ph
-UNION ALL SELECT 'metrics', count(*) FROM mc""",
+SELECT 'runs' AS name, s.run_id, coalesce(s.key, substr(s.run_id, 1, 8)) AS key, s.value AS text,
+  s.ts AS num, NULL::BIGINT AS step FROM starts s
+UNION ALL (SELECT 'params', run_id, key, value, NULL, NULL FROM ph
+  QUALIFY row_number() OVER (PARTITION BY run_id, key ORDER BY ts DESC, seq DESC) = 1)
+UNION ALL SELECT 'metrics', run_id, key, NULL, value, step FROM mc""",
 )
 def tracking_tables(spark, sf):
     """Write the run histories and read the current tables."""
     path = scratch_path(spark, "tracking")
-    sinks.write_tracking(tracking_events(spark, sf), path)
-    counts = [
-        tables.current_tracking(spark, path, t).agg(F.lit(t).alias("name"), F.count("*").alias("n"))
-        for t in ("runs", "params", "metrics")
-    ]
-    return counts[0].unionByName(counts[1]).unionByName(counts[2])
+    sinks.write_tracking(tracking_events(spark, sf), path, artifact_base="/srv")
+    parts = []
+    for name, key, text, num, step in (
+        ("runs", "run_name", "config_json", "start_ts", None),
+        ("params", "key", "value", None, None),
+        ("metrics", "key", None, "value", "step"),
+    ):
+        cells = [(key, "key", "string"), (text, "text", "string"), (num, "num", "double")]
+        columns = [
+            (F.col(c) if c else F.lit(None)).cast(kind).alias(out)
+            for c, out, kind in [*cells, (step, "step", "bigint")]
+        ]
+        current = tables.current_tracking(spark, path, name)
+        parts.append(current.select(F.lit(name).alias("name"), "run_id", *columns))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 @query(

@@ -39,6 +39,21 @@ def embed_text(spark, sf):
     return d.select("doc_id", F.posexplode_outer("v").alias("i", "x"))
 
 
+def letters():
+    """A stand-in model: length, letters e, and a constant."""
+    return lambda texts: [[len(t), t.count("e"), 1.0] for t in texts]
+
+
+@query(
+    "embed_custom",
+    """SELECT doc_id, unnest([length(text), length(text) - length(replace(text, 'e', '')), 1])::DOUBLE AS x,
+  unnest(range(3))::INT AS i FROM documents""",
+)
+def embed_custom(spark, sf):
+    d = table(spark, sf, "documents").select("doc_id", em.embed(F.col("text"), letters).alias("v"))
+    return d.select("doc_id", F.posexplode_outer("v").alias("i", "x"))
+
+
 @query(
     "normalize",
     f"""WITH {EMBEDDINGS_SQL}, {unit_sql("emb", "u")}

@@ -39,7 +39,7 @@ def build_text(df: DataFrame, columns) -> Column:
     """The columns as one text, with single spaces between them."""
     missing = [c for c in columns if c not in df.columns]
     if missing:
-        raise ValueError(f"sample_text_columns {missing[0]!r} not in DataFrame columns")
+        raise ValueError(f"no column {missing[0]!r} to build a text from")
     return F.concat_ws(" ", *[shown(df, c) for c in columns])
 
 
@@ -50,7 +50,7 @@ def default_text_columns(df: DataFrame, explicit=None) -> list[str]:
         return ["instruction", "input"]
     strings = string_columns(df)
     if not strings:
-        raise ValueError("strategies 'diversity' and 'quality' need text columns or string columns")
+        raise ValueError("nothing to embed: name text columns, or have string columns")
     return strings[:1]
 
 

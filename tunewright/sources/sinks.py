@@ -28,7 +28,9 @@ def write_splits(df: DataFrame, path: str, out: str = "split") -> None:
     df.write.mode("overwrite").partitionBy(out).parquet(path)
 
 
-def write_tracking(events: DataFrame, base: str, backend: str = "parquet") -> None:
+def write_tracking(
+    events: DataFrame, base: str, backend: str = "parquet", artifact_base: str = "/"
+) -> None:
     """Append an event batch to the histories ``runs``, ``params`` and ``metrics``.
 
     Backend ``none`` writes nothing. ``tables.current_tracking`` reads the resolved tables.
@@ -36,11 +38,11 @@ def write_tracking(events: DataFrame, base: str, backend: str = "parquet") -> No
     if backend == "none":
         return
     if backend not in ("parquet", "orc"):
-        raise ValueError(f"Unknown tracking backend: {backend!r}")
+        raise ValueError(f"no tracking backend {backend!r}; there are none, orc, parquet")
     root = base.rstrip("/")
     tables = {
         "runs": track.run_history(events),
-        "params": track.param_history(events),
+        "params": track.param_history(events, artifact_base),
         "metrics": track.metric_history(events),
     }
     for name, table in tables.items():
