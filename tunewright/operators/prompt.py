@@ -42,7 +42,7 @@ def render(df: DataFrame, template: str, aliases: dict[str, str] | None = None)
             continue
         if conversion or field not in names:
             raise KeyError(
-                f"Template variable {field!r} not found. Available keys: {sorted(names)}"
+                f"the template asks for {field!r}; the row has {', '.join(sorted(names))}"
             )
         out.append(_piece(df, names[field], spec))
     return F.concat(*out) if out else F.lit("")
