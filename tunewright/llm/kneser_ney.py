@@ -48,11 +48,14 @@ _LOW = np.uint64(0xFFFFFFFF)
 def shared_folder(spark: SparkSession) -> str:
     """A fresh folder that every worker can open as a file path."""
     path = scratch_path(spark, "kneser-ney")
-    if "://" in path or path.startswith("file:"):
-        scheme, _, rest = path.partition(":")
-        if scheme != "file":
-            raise RuntimeError("workers map the model: spark.checkpoint.dir must be a mounted path")
-        path = "/" + rest.lstrip("/")
+    scheme, colon, rest = path.partition(":")
+    if not colon:
+        # without a scheme, the path belongs to the cluster's default file system
+        default = spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS") or "file:///"
+        scheme, rest = default.partition(":")[0], path
+    if scheme != "file":
+        raise RuntimeError("workers map the model: spark.checkpoint.dir must be a mounted path")
+    path = "/" + rest.lstrip("/")
     os.makedirs(path, exist_ok=True)
     return path
 

@@ -428,7 +428,7 @@ def graph(singles: DataFrame) -> tuple[DataFrame, DataFrame]:
     placed = singles.select("node", "weight", "vec", F.inline(
         F.transform(F.slice("shards", 1, OVERLAP), lambda s: F.struct(s.alias("shard")))
     ))
-    slices = _units(placed, "shard", SLICE_ROWS, "slices")
+    slices = F.broadcast(_units(placed, "shard", SLICE_ROWS, "slices"))  # MOST_CENTRES rows at most
     placed = placed.join(slices, "shard").withColumn("slice", F.pmod(F.xxhash64("node"), "slices"))
     placed = store(placed.withColumn("unit", F.xxhash64("shard", "slice")), "shards")
     lists = (
@@ -493,8 +493,9 @@ def link(df: DataFrame, key: str = "vec_id", vector: str = "embedding", threshol
     # the graph
     placed, adjacency = graph(nodes.filter("ball < 0"))
     asked = nodes.select("node", "vec", F.explode("shards").alias("shard"))
-    parts = _units(asked, "shard", QUERY_ROWS, "parts")
-    slices = placed.groupBy("shard").agg(F.max("slices").alias("slices"))
+    # a row for each of at most MOST_CENTRES shards
+    parts = F.broadcast(_units(asked, "shard", QUERY_ROWS, "parts"))
+    slices = F.broadcast(placed.groupBy("shard").agg(F.max("slices").alias("slices")))
     own = placed.join(parts, "shard").join(adjacency, "node").select(
         "shard", F.col("slice").cast("int").alias("slice"),
         F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
