@@ -162,6 +162,9 @@ def test_registry(pairs):
     with pytest.raises(ValueError, match="no metric 'nope'"):
         metrics.build(["nope"])
     out = ev.evaluate(pairs, ["rouge", "bertscore", "semantic_similarity", "refusal"])
+    # one pass: one scan, one exchange of partial sums
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan ExistingRDD") == 1 and plan.count("Exchange SinglePartition") == 1
     assert {r.metric for r in out.collect()} == set(metrics.BUILTIN)
 
 

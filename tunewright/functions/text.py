@@ -68,19 +68,6 @@ def words(c: Column) -> Column:
     return split_words(F.lower(F.coalesce(c, F.lit(""))), r"[^\p{L}\p{N}]+")
 
 
-def ngrams(tokens: Column, n: int) -> Column:
-    """Runs of ``n`` tokens joined by one space."""
-    grams = tokens
-    for k in range(2, n + 1):
-        count = F.greatest(F.size(tokens) - (k - 1), F.lit(0))
-        grams = F.zip_with(
-            F.slice(grams, 1, count),
-            F.slice(tokens, k, count),
-            lambda head, token: F.concat(head, F.lit(" "), token),
-        )
-    return grams
-
-
 def truthy(df: DataFrame, name: str) -> Column:
     """Python truth of a column; null counts as false."""
     c = F.col(f"`{name}`")

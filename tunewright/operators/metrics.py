@@ -27,6 +27,8 @@ from tunewright.functions.token_vectors import TokenEncoderFactory, best_match_s
 from tunewright.specs import REFUSAL_MESSAGE
 
 Metric = Callable[[DataFrame], DataFrame]
+#: An aggregate over row scores, which it gets by their names.
+Value = Callable[[Callable[[str], Column]], Column]
 TINY = 1e-9  # fixed value: keeps refusal ratios from dividing by zero
 
 
@@ -61,7 +63,7 @@ class RowMetric:
 
     name: str
     rows: Callable[[DataFrame], dict[str, Column]]
-    values: Callable[[], dict[str, Column]]
+    values: Callable[[], dict[str, Value]]
 
     def __call__(self, pairs: DataFrame, by: Sequence[str] = ()) -> DataFrame:
         return in_one_pass(pairs, [self], by)
@@ -77,11 +79,11 @@ def in_one_pass(pairs: DataFrame, metrics: Sequence[RowMetric], by: Sequence[str
     return _long(pairs.select(*columns), values, by)
 
 
-def _renamed(value: Callable[[Callable[[str], Column]], Column], i: int) -> Column:
+def _renamed(value: Value, i: int) -> Column:
     return value(lambda name: F.col(f"_{i}_{name}"))
 
 
-def _mean(name: str):
+def _mean(name: str) -> Value:
     return lambda col: F.avg(col(name))
 
 
