@@ -48,10 +48,10 @@ ROLES = frozenset(
 #: Words of class and id that mark elements without prose of the page.
 NAMES = frozenset(
     "ad ads adbox adslot advert adverts advertisement advertisements advertising adsense alert alerts "
-    "banner breadcrumb breadcrumbs comment comments commentlist consent cookie cookies copyright "
+    "aside banner breadcrumb breadcrumbs comment comments commentlist consent cookie cookies copyright "
     "disqus footer footnav gdpr header hero login masthead menu menus modal nav navbar navigation "
     "newsletter notice notices notification notifications overlay pager pagination popup promo promos "
-    "promotion promoted recommended related replies respond responses share sharing sidebar sidebars "
+    "promotion promoted rail recommended related replies respond responses secondary share sharing sidebar sidebars "
     "signup skyscraper social sponsor sponsored sponsors subscribe subscription toolbar topbar widget "
     "widgets".split()
 )
