@@ -22,7 +22,7 @@ column are replaced.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -39,15 +39,17 @@ FAN_OUT = 8
 _FRONT = 1_000_000
 
 
-def fingerprints(column: pa.Array, shingle: int = 3) -> np.ndarray:
-    """64-bit fingerprints of texts: A-Z lower-cased, words between ASCII white space."""
-    from xxhash import xxh64_intdigest as xxh
-
+def word_runs(
+    column: pa.Array, shingle: int
+) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """All words with one space between, starts and ends of the shingles in them; of each text, the
+    number of its first shingle and how many it has.
+    """
     data, offsets = W.texts(column)
     starts, ends, first = W.spans(data, offsets)
-    out = np.zeros(len(offsets) - 1, np.uint64)
     if not len(starts):
-        return out
+        none = np.zeros(0, np.int64)
+        return b"", none, none, np.zeros(len(offsets) - 1, np.int64), np.zeros(len(offsets) - 1, np.int64)
     # one space between words, so that a shingle is a slice
     inside = ~W.SPACE[data]
     keep = inside.copy()
@@ -62,7 +64,18 @@ def fingerprints(column: pa.Array, shingle: int = 3) -> np.ndarray:
     begin = np.cumsum(shingles) - shingles
     at = np.arange(shingles.sum()) - np.repeat(begin, shingles) + np.repeat(first[:-1], shingles)
     stop = np.minimum(at + shingle - 1, np.repeat(first[1:], shingles) - 1)
-    s, e = starts[at].tolist(), ends[stop].tolist()
+    return flat, starts[at], ends[stop], begin, shingles
+
+
+def fingerprints(column: pa.Array, shingle: int = 3) -> np.ndarray:
+    """64-bit fingerprints of texts: A-Z lower-cased, words between ASCII white space."""
+    from xxhash import xxh64_intdigest as xxh
+
+    flat, starts, ends, begin, shingles = word_runs(column, shingle)
+    out = np.zeros(len(shingles), np.uint64)
+    if not len(starts):
+        return out
+    s, e = starts.tolist(), ends.tolist()
     h = np.array([xxh(flat[a:b], 42) for a, b in zip(s, e, strict=True)], np.uint64)
     some = np.flatnonzero(shingles)
     out[some] = _majority(h, begin[some], shingles[some])
@@ -270,6 +283,22 @@ def link_fingerprints(fps: DataFrame, distance: int = 3, cell_rows: int = CELL_R
     return placed.select("_fp", "_fixed").mapInArrow(_cell_links(distance), "a bigint, b bigint")
 
 
+def _placed(
+    df: DataFrame, key: str, text: str, distance: int, shingle: int, cell_rows: int, keep: list[str]
+) -> tuple[DataFrame, DataFrame]:
+    """The columns ``keep`` with _fp; the fingerprints with their _root and component_id."""
+    kind = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    schema = ", ".join([*[f"`{c}` {kind[c]}" for c in keep], "_fp bigint"])
+    used = list(dict.fromkeys([*keep, text]))
+    rows = store(df.select(used).mapInArrow(_fingerprint(text, keep, shingle), schema), "fingerprints")
+    distinct = store(rows.groupBy("_fp").agg(F.min(key).alias("_first")), "distinct-fingerprints")
+    joined = components(link_fingerprints(distinct.select("_fp"), distance, cell_rows))
+    named = distinct.join(joined, F.col("_fp") == F.col("node"), "left")
+    named = named.select("_fp", "_first", F.coalesce("root", "_fp").alias("_root"))
+    smallest = named.groupBy("_root").agg(F.min("_first").alias("component_id"))
+    return rows, named.join(smallest, "_root").select("_fp", "_root", "component_id")
+
+
 def near_copies(
     df: DataFrame,
     key: str = "doc_id",
@@ -282,34 +311,41 @@ def near_copies(
     """Add fingerprint (16 hex digits) and component_id (smallest key) to the columns ``keep``."""
     df = df.drop("fingerprint", "component_id")
     keep = [c for c in (keep or df.columns) if c in df.columns]
-    kind = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    schema = ", ".join([*[f"`{c}` {kind[c]}" for c in keep], "_fp bigint"])
-    used = list(dict.fromkeys([*keep, text]))
-    rows = store(df.select(used).mapInArrow(_fingerprint(text, keep, shingle), schema), "fingerprints")
-    distinct = store(rows.groupBy("_fp").agg(F.min(key).alias("_first")), "distinct-fingerprints")
-    joined = components(link_fingerprints(distinct.select("_fp"), distance, cell_rows))
-    named = distinct.join(joined, F.col("_fp") == F.col("node"), "left")
-    named = named.select("_fp", "_first", F.coalesce("root", "_fp").alias("_root"))
-    smallest = named.groupBy("_root").agg(F.min("_first").alias("component_id"))
-    by_fp = named.join(smallest, "_root").select("_fp", "component_id")
+    rows, by_fp = _placed(df, key, text, distance, shingle, cell_rows, keep)
     out = rows.join(by_fp, "_fp")
     return out.select(*keep, F.lower(F.lpad(F.hex("_fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def first_rows(df: DataFrame, marked: DataFrame, key: str, again: Callable[[], DataFrame]) -> DataFrame:
+    """Of each component the row of ``df`` with the smallest key, and the rows without a key.
+
+    ``marked`` has the keys with _node (of the text) and _root (of its component). Only keys move while
+    the texts meet those that go in one join; if keys repeat, ``again`` gives the rows with their _node.
+    """
+    marked = store(marked.select(key, "_node", "_root"), "components")
+    least = marked.groupBy("_root").agg(F.min(key).alias("_least"))
+    named = store(marked.join(least, "_root"), "components")
+    if named.groupBy(key).count().filter("count > 1").isEmpty():
+        gone = named.filter(F.col(key) != F.col("_least")).select(key)
+        return df.join(gone, key, "left_anti").select(df.columns)
+    kept = named.filter(F.col(key) == F.col("_least")).groupBy("_root", key).agg(F.min("_node").alias("_node"))
+    out = again().join(kept.select(key, "_node"), [key, "_node"], "left_semi").dropDuplicates([key, "_node"])
+    return out.select(df.columns).unionByName(df.filter(F.col(key).isNull()))
+
+
 def dedup(df: DataFrame, key: str = "doc_id", text: str = "text", distance: int = 3) -> DataFrame:
     """One row of each component: that with the smallest key; rows without a key are kept.
 
-    Only keys move while components are found. The texts meet the keys that go in one join.
+    Keys may repeat, with like or unlike texts.
     """
-    marked = near_copies(df, key, text, distance, keep=[key])
-    marked = store(marked.select(key, "component_id").filter(F.col(key).isNotNull()), "components")
-    gone = marked.filter(F.col(key) != F.col("component_id")).select(key).distinct()
-    out = df.join(gone, key, "left_anti").select(df.columns)
-    if marked.groupBy(key).count().filter("count > 1").isEmpty():
-        return out
-    return out.filter(F.col(key).isNotNull()).dropDuplicates([key]).unionByName(
-        out.filter(F.col(key).isNull())
-    )
+    rows, by_fp = _placed(df, key, text, distance, 3, CELL_ROWS, [key])
+    marked = rows.filter(F.col(key).isNotNull()).join(by_fp, "_fp").withColumnRenamed("_fp", "_node")
+
+    def again() -> DataFrame:
+        kind = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+        return df.mapInArrow(_fingerprint(text, df.columns, 3), kind + ", _fp bigint").withColumnRenamed("_fp", "_node")
+
+    return first_rows(df, marked, key, again)
 
 
 @query("op10_simhash_gray_index")
