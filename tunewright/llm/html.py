@@ -4,9 +4,9 @@ The page becomes a tree of elements. Elements that hold no prose of the page (me
 footers, sidebars, notices, adverts, forms, scripts, reader comments, hidden ones) are left out, by
 their tag, role, class or id. Every paragraph gets points for its length and its commas and passes
 them to its ancestors: all to the parent, half to the next, and ever less above. A container's points
-are discounted by the share of its text that is in links. The best container is kept, widened to the
-``article`` or ``main`` around it; beside it, siblings are kept that have a fair part of its points or
-are prose themselves.
+are discounted by the share of its text that is in links. The best container is kept; ``article`` and
+``main`` have a bonus in this and bound nothing. Beside it and beside each of its ancestors, siblings
+are kept that have a fair part of its points or are prose themselves.
 
 The text is that of the kept elements in page order: a block is a run of text between the starts and
 ends of block elements, its character references are decoded and its white space becomes one space.
@@ -250,6 +250,8 @@ def _beside(c: Node | str, best: Node) -> bool:
     return _prose(c) and (c.tag not in _CONTAINER or c.score >= 0.2 * best.score)
 
 
+#: What an element that is named as the text counts for among the containers.
+BONUS = 1.25
 _CONTAINER = frozenset("article body center div main section td".split())
 
 
@@ -260,36 +262,18 @@ def main_nodes(root: Node) -> list[Node | str]:
     candidates = [x for x in nodes if x.text and x.tag != "p" and (x.tag in BLOCK or x is root)]
     if not candidates:
         return []
-    best = max(candidates, key=lambda x: x.score)
-    for tag in ("article", "main"):
-        outer, whole = _within(best, (tag,)), None
-        while outer is not None:
-            whole, outer = outer, _within(outer.parent, (tag,))
-        if whole is None:
-            # inside the best container, if it is most of it
-            whole = max((x for x in nodes if x.tag == tag), key=lambda x: x.score, default=None)
-            if whole is None or 2 * sum(x.text for x in _alike(whole)) < best.text:
-                continue
-        return _alike(whole)
-    while best.parent is not None:
-        around = [c for c in best.parent.children if isinstance(c, str) or not c.dropped]
-        kept = [c for c in around if _beside(c, best)]
-        if len(kept) < sum(1 for c in around if (c.strip() if isinstance(c, str) else c.text)):
-            return kept
-        best = best.parent
-    return [best]
-
-
-def _alike(whole: Node) -> list[Node]:
-    """Articles side by side are parts of one text."""
-    if whole.tag != "article" or whole.parent is None:
-        return [whole]
-    return [
-        c
-        for c in whole.parent.children
-        if c is whole
-        or (isinstance(c, Node) and c.tag == "article" and not c.dropped and _prose(c))
-    ]
+    best = max(candidates, key=lambda x: x.score * (BONUS if x.tag in ("article", "main") else 1.0))
+    kept, inner = [best], best
+    while inner.parent is not None:
+        around = [c for c in inner.parent.children if isinstance(c, str) or not c.dropped]
+        out: list[Node | str] = []
+        for c in around:
+            if c is inner:
+                out.extend(kept)
+            elif _beside(c, best):
+                out.append(c)
+        kept, inner = out, inner.parent
+    return kept
 
 
 def blocks(nodes: list[Node]) -> list[str]:
