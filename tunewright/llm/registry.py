@@ -16,6 +16,7 @@ _QUERIES: dict[str, Query] = {}
 _ORACLES: dict[str, str] = {}
 _MODULES = (
     "quotes", "vector_graph", "html", "kneser_ney", "langid", "decontaminate", "packing", "urls", "shards", "simhash",
+    "quality", "runs", "merkle",
 )
 
 
