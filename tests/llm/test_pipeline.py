@@ -76,3 +76,26 @@ def test_run(spark):
     bench = [(r.item_id, r.text) for r in spark.read.parquet(f"{D}/benchmark.parquet").collect()]
     rows = [d for d, h in zip(rows, slow_hits([(0, d.text) for d in rows], bench), strict=True) if not h[1]]
     check(out.collect(), dict(zip([d.doc_id for d in rows], slow_ids([d.text for d in rows]), strict=True)), 4096)
+
+
+CLASHING = ("items", "hits", "n_words", "score", "lang_pred", "n_grams", "_n", "_node", "_root", "_fp", "c0", "ids")
+
+
+def test_stages_keep_columns_of_any_name(spark):
+    """Extra columns that are called like those of the operators, unique and repeated ids, no rows."""
+    docs = spark.read.parquet(f"{D}/documents.parquet").limit(60)
+    wide = docs.select(*[docs[c] for c in docs.columns], *[docs["n_chars"].alias(c) for c in CLASHING])
+    repeated = wide.unionByName(wide.filter("doc_id % 3 = 0"))
+    for name, stage in P.STAGES:
+        plain = stage(spark, docs, D)
+        for df, rows in ((wide, plain), (repeated, stage(spark, docs.unionByName(docs.filter("doc_id % 3 = 0")), D))):
+            out = stage(spark, df, D)
+            if name == P.STAGES[-1][0]:
+                assert Counter(r.doc_id for r in out.collect()) == Counter(r.doc_id for r in rows.collect())
+                continue
+            assert out.columns == df.columns
+            got = out.collect()
+            assert all(r[c] == r.n_chars for r in got for c in CLASHING)
+            narrow = Counter(tuple(r[: len(docs.columns)]) for r in got)
+            assert narrow == Counter(tuple(r) for r in rows.collect()), name
+        assert stage(spark, wide.limit(0), D).count() == 0

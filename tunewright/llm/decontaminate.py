@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tunewright.llm import words as W
+from tunewright.llm.columns import plain, restored
 from tunewright.llm.registry import query
 from tunewright.session import store
 
@@ -290,9 +291,9 @@ def annotate(
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", **options) -> DataFrame:
-    """The documents without any benchmark window."""
-    out = annotate(docs, benchmark, text, **options).filter(F.size("hits") == 0)
-    return out.drop("n_words", "hits", "items")
+    """The documents without any benchmark window; their columns may have any names."""
+    docs, names = plain(docs)
+    return restored(annotate(docs, benchmark, names[text], **options).filter(F.size("hits") == 0), names)
 
 
 _SQL = r"""

@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tunewright.llm import words as W
+from tunewright.llm.columns import plain, restored
 from tunewright.llm.registry import query
 from tunewright.session import store
 
@@ -236,6 +237,12 @@ def accepted(least: float = 0.2, enough: int = 20) -> Column:
     return (F.col("lang_pred") != "und") & ((F.col("score") >= least) | (F.col("n_grams") < enough))
 
 
+def known(df: DataFrame, filters: Filters, text: str = "text", **limits) -> DataFrame:
+    """The rows of ``df`` in a learned language (see ``accepted``); their columns may have any names."""
+    df, names = plain(df)
+    return restored(predict(df, filters, names[text]).filter(accepted(**limits)), names)
+
+
 def held_out(key: str = "doc_id") -> Column:
     """Every fourth document or so is never learned from."""
     return F.coalesce(F.crc32(F.col(key).cast("string")) % 4 == 2, F.lit(False))

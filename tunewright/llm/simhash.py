@@ -22,7 +22,7 @@ column are replaced.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tunewright.llm import words as W
+from tunewright.llm.columns import plain, restored
 from tunewright.llm.components import Union, components
 from tunewright.llm.registry import query
 from tunewright.session import store
@@ -316,36 +317,28 @@ def near_copies(
     return out.select(*keep, F.lower(F.lpad(F.hex("_fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def first_rows(df: DataFrame, marked: DataFrame, key: str, again: Callable[[], DataFrame]) -> DataFrame:
-    """Of each component the row of ``df`` with the smallest key, and the rows without a key.
+def dedup(
+    df: DataFrame, key: str = "doc_id", text: str = "text", distance: int = 3, shingle: int = 3
+) -> DataFrame:
+    """One row of each component: that with the smallest key; rows without a key are kept.
 
-    ``marked`` has the keys with _node (of the text) and _root (of its component). Only keys move while
-    the texts meet those that go in one join; if keys repeat, ``again`` gives the rows with their _node.
+    Keys may repeat, with like or unlike texts; columns of the input may have any names. Only keys move
+    while the texts meet those that go in one join.
     """
-    marked = store(marked.select(key, "_node", "_root"), "components")
+    df, names = plain(df)
+    key, text = names[key], names[text]
+    rows, by_fp = _placed(df, key, text, distance, shingle, CELL_ROWS, [key])
+    marked = store(rows.filter(F.col(key).isNotNull()).join(by_fp, "_fp").select(key, "_fp", "_root"), "components")
     least = marked.groupBy("_root").agg(F.min(key).alias("_least"))
     named = store(marked.join(least, "_root"), "components")
     if named.groupBy(key).count().filter("count > 1").isEmpty():
         gone = named.filter(F.col(key) != F.col("_least")).select(key)
-        return df.join(gone, key, "left_anti").select(df.columns)
-    kept = named.filter(F.col(key) == F.col("_least")).groupBy("_root", key).agg(F.min("_node").alias("_node"))
-    out = again().join(kept.select(key, "_node"), [key, "_node"], "left_semi").dropDuplicates([key, "_node"])
-    return out.select(df.columns).unionByName(df.filter(F.col(key).isNull()))
-
-
-def dedup(df: DataFrame, key: str = "doc_id", text: str = "text", distance: int = 3) -> DataFrame:
-    """One row of each component: that with the smallest key; rows without a key are kept.
-
-    Keys may repeat, with like or unlike texts.
-    """
-    rows, by_fp = _placed(df, key, text, distance, 3, CELL_ROWS, [key])
-    marked = rows.filter(F.col(key).isNotNull()).join(by_fp, "_fp").withColumnRenamed("_fp", "_node")
-
-    def again() -> DataFrame:
-        kind = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
-        return df.mapInArrow(_fingerprint(text, df.columns, 3), kind + ", _fp bigint").withColumnRenamed("_fp", "_node")
-
-    return first_rows(df, marked, key, again)
+        return restored(df.join(gone, key, "left_anti"), names)
+    kept = named.filter(F.col(key) == F.col("_least")).groupBy("_root", key).agg(F.min("_fp").alias("_fp"))
+    kind = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+    again = df.mapInArrow(_fingerprint(text, df.columns, shingle), kind + ", _fp bigint")
+    out = again.join(kept.select(key, "_fp"), [key, "_fp"], "left_semi").dropDuplicates([key, "_fp"])
+    return restored(out.select(df.columns).unionByName(df.filter(F.col(key).isNull())), names)
 
 
 @query("op10_simhash_gray_index")
