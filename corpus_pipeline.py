@@ -8,28 +8,29 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tunewright.llm import decontaminate, langid, near_sets, packing
+from tunewright.llm import decontaminate, langid, packing, simhash
 from tunewright.session import scratch_path, ship_package
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without texts that have no letters or are in none of the labelled languages."""
     ship_package(spark)
-    found = langid.predict(docs, langid.learn(docs))
-    return found.filter(langid.accepted()).select(docs.columns)
+    return langid.known(docs, langid.learn(docs))
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (Jaccard 0.8 over five words): that with the smallest id."""
+    """One document of each group of near copies (SimHash of three-word shingles, at most 3 bits apart):
+    that with the smallest id.
+    """
     ship_package(spark)
-    return near_sets.dedup(docs).select(docs.columns)
+    return simhash.dedup(docs, shingle=3, distance=3)
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without documents that hold a window of a benchmark item."""
     ship_package(spark)
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return decontaminate.clean(docs, items).select(docs.columns)
+    return decontaminate.clean(docs, items)
 
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,7 +39,7 @@ def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     path = str(public_tokenizers.path("word_bpe_49k.json"))
-    return packing.pack(docs, path, keep=["doc_id"])
+    return packing.pack(docs.select("doc_id", "text"), path, keep=["doc_id"])
 
 
 STAGES = [
