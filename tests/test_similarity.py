@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from tunewright.operators import diversity, guard, near_dup, similarity_join
 from tunewright.operators.diversity import diverse_n
+from tunewright.session import cut_lineage
 
 
 def unit(x):
@@ -34,11 +35,13 @@ def farthest(x, order, n):
 
 
 @pytest.mark.parametrize("threshold", [0.5, 0.8, 0.95])
-@pytest.mark.parametrize("shape", [(3, 4096, 4096), (1, 16, 32), (0, 1, 64)])
-def test_near_dup_equals_the_sequential_rule(vectors, seeded, threshold, shape):
+@pytest.mark.parametrize("shape", [(4096, 4096, 16), (16, 32, 0), (1, 64, 1e9)])
+def test_near_dup_equals_the_sequential_rule(vectors, seeded, threshold, shape, monkeypatch):
+    """On the driver, by doubling prefixes, and all at once after the first row."""
     df, x = vectors
-    sweeps, rows, block = shape
-    out = near_dup.near_dup(df, "id", "v", threshold, 42, sweeps, rows, block)
+    first, block, linear = shape
+    monkeypatch.setattr(near_dup, "SMALL", 1)
+    out = near_dup.near_dup(df, "id", "v", threshold, 42, first, block, linear)
     expected = greedy(x, seeded(range(len(x))), threshold)
     assert sorted(r.id for r in out.collect()) == expected
 
@@ -96,18 +99,90 @@ def test_tiny_blocks_and_no_anchors(vectors):
         assert len(out) == 31 and len({round(r.max_cosine, 9) for r in out if r.id == 3}) == 1
 
 
-def test_cells_are_used_where_they_pay(spark):
-    rng = np.random.default_rng(0)
-    centres = np.eye(24)
-    x = unit(np.repeat(centres, 40, axis=0) + rng.normal(size=(960, 24)) * 0.02)
+def clustered(n, seed=0):
+    """Groups of about 20 close vectors, in 12 directions."""
+    rng = np.random.default_rng(seed)
+    a = unit(rng.normal(size=(12, 24)))
+    groups = n // 240 + 1
+    b = unit(np.repeat(a, groups, axis=0) + rng.normal(size=(12 * groups, 24)) * 0.12)
+    return unit(b[rng.integers(0, len(b), n)] + rng.normal(size=(n, 24)) * 0.004)
+
+
+def rows_of(spark, x):
     df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id int, v array<double>")
-    rows = similarity_join.unit_vectors(df, "id", "v", 42).persist()
-    members, sizes = similarity_join._members(rows, 960, 0.95, 40)
-    assert len(sizes) > 5
-    pairs = similarity_join.edges(rows, 960, 0.95, 40).select("a", "b")
-    s = sims(x)
-    assert pairs.count() == pairs.distinct().count() == int((np.triu(s, 1) >= 0.95).sum())
-    rows.unpersist()
+    return cut_lineage(similarity_join.unit_vectors(df, "id", "v", 42))
+
+
+@pytest.mark.parametrize("root_cells", [24, 2048])
+def test_the_tree_of_pivots_loses_no_pair_and_looks_at_few(spark, root_cells):
+    """One level, and several where the first may only have 24 cells."""
+    looked, depth = [], []
+    for n in (900, 3600):
+        x = clustered(n)
+        rows = rows_of(spark, x)
+        cells = similarity_join.cells_for(rows, n, 0.98, 48, root_cells)
+        looked.append(cells.pairs() / n)
+        depth.append(max(r._cell.count(".") for r in cells.members.select("_cell").collect()))
+        pairs = similarity_join.edges(rows, n, 0.98, 48, root_cells).select("a", "b").collect()
+        assert len(pairs) == len(set(pairs)) == int((np.triu(sims(x), 1) >= 0.98).sum())
+        assert all(r.a < r.b for r in pairs)
+    # of 450 and 1,800 pairs per row
+    assert max(looked) < 120 and looked[1] < 3 * looked[0]
+    assert max(depth) >= (1 if root_cells == 24 else 0)
+
+
+def test_a_group_that_no_pivot_splits_stays_whole(spark):
+    """Three quarters of the rows within the limit of each other: cells for the others, blocks for these."""
+    rng = np.random.default_rng(4)
+    ball = unit(np.eye(24)[:1] + rng.normal(size=(600, 24)) * 0.002)
+    x = np.vstack([ball, clustered(200)])
+    rows = rows_of(spark, x)
+    pairs = similarity_join.edges(rows, 800, 0.98, 32, 16).select("a", "b").collect()
+    assert len(pairs) == len(set(pairs)) == int((np.triu(sims(x), 1) >= 0.98).sum())
+
+
+@pytest.mark.parametrize("block", [4096, 24])
+def test_struck_rows_are_those_near_another_table(spark, block):
+    x = clustered(700)
+    x[::50] = unit(np.random.default_rng(1).normal(size=(14, 24)))
+    rows = rows_of(spark, x)
+    left, right = rows.filter("_order_hash < 'a'"), rows.filter("_order_hash >= 'a'")
+    out = similarity_join.struck(left, 700, right, 0.98, block, 16).collect()
+    a, b = (t.orderBy("_order_hash").collect() for t in (left, right))
+    near = np.round(np.array([r._v for r in a]) @ np.array([r._v for r in b]).T, 9) >= 0.98
+    want = [r._order_hash for r, hit in zip(a, near.any(axis=1), strict=True) if hit]
+    assert sorted(r._order_hash for r in out) == want and 0 < len(want) < len(a)
+
+
+def test_prefixes_double_until_pairs_are_linear(spark, seeded, monkeypatch):
+    """Two dense groups that hold most rows: prefixes are cut while they have many pairs."""
+    rng = np.random.default_rng(2)
+    ball = unit(np.repeat(np.eye(8)[:2], 450, axis=0) + rng.normal(size=(900, 8)) * 0.2)
+    x = np.vstack([ball, unit(rng.normal(size=(100, 8)))])
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id int, v array<double>")
+    rows = rows_of(spark, x)
+    exact = (np.triu(sims(x), 1) >= 0.9).sum() / 1000
+    assert near_dup.pairs_per_row(rows, 1000, 0.9) == pytest.approx(exact, rel=0.2)
+    sizes = []
+    real = near_dup.edges
+    monkeypatch.setattr(near_dup, "edges", lambda r, n, *a: sizes.append(n) or real(r, n, *a))
+    monkeypatch.setattr(near_dup, "SMALL", 1)
+    out = near_dup.near_dup(df, "id", "v", 0.9, 42, 8, 64, 4)
+    assert sorted(r.id for r in out.collect()) == greedy(x, seeded(range(1000)), 0.9)
+    assert len(sizes) > 1 and sum(sizes) < 900
+
+
+def test_greedy_rows_in_batches(vectors):
+    _, x = vectors
+    for t in (0.5, 0.95):
+        assert near_dup.greedy_rows(unit(x), t, 7).tolist() == near_dup.greedy_batch(unit(x), t).tolist()
+
+
+def test_no_rows_and_one(spark):
+    df = spark.createDataFrame([(1, [1.0, 0.0])], "id int, v array<double>")
+    for rows, n in ((df, 1), (df.limit(0), 0)):
+        assert near_dup.near_dup(rows, "id", "v", 0.9).count() == n
+        assert similarity_join.similar_pairs(rows, "id", "v", 0.9).count() == 0
 
 
 @pytest.mark.parametrize(("candidates", "tree"), [(999, 10**9), (7, 10**9), (50, 0)])
@@ -119,6 +194,39 @@ def test_farthest_points_are_exact(vectors, seeded, candidates, tree, monkeypatc
     assert got == farthest(x, seeded(range(len(x))), 30)
 
 
+@pytest.mark.parametrize("fold", [4096, 5])
+@pytest.mark.parametrize("spread", [0.1, 3.0])
+def test_cells_that_cannot_hold_the_next_pick_stay_closed(spark, seeded, monkeypatch, fold, spread):
+    """Groups far apart, and vectors without groups; with folds, and without."""
+    monkeypatch.setattr(diversity, "CELL_ROWS", 100)
+    monkeypatch.setattr(diversity, "CELLS", 40)
+    monkeypatch.setattr(diversity, "OPEN_ROWS", 20)
+    monkeypatch.setattr(diversity, "FOLD", fold)
+    rng = np.random.default_rng(5)
+    x = np.repeat(rng.normal(size=(40, 12)), 15, axis=0) + rng.normal(size=(600, 12)) * spread
+    x[7] = x[8] = x[300]
+    x[9] = 0
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id int, v array<double>")
+    opened, written = [], []
+    opens, stores = diversity.Cells.open, diversity.store
+
+    def count(self, *a):
+        out = opens(self, *a)
+        opened.append(self.rows[out].sum())
+        return out
+
+    monkeypatch.setattr(diversity.Cells, "open", count)
+    monkeypatch.setattr(diversity, "store", lambda d, name: written.append(d.columns) or stores(d, name))
+    out = diverse_n(df, 60, "id", "v", pick_column="p", candidates=9).collect()
+    got = [r.id for r in sorted(out, key=lambda r: r.p)]
+    assert got == farthest(x, seeded(range(600)), 60)
+    if spread < 1:
+        # until each group has a pick, those that have one stay closed
+        assert min(opened) < 120 and np.mean(opened) < 500
+    # the rows, the rows by cell, and folds: no pass writes vectors
+    assert len(written) == 2 if fold > 60 else 2 < len(written) < len(opened)
+
+
 def test_farthest_points_of_all_rows(vectors):
     df, x = vectors
     out = diverse_n(df, 1000, "id", "v", pick_column="p")

@@ -107,6 +107,19 @@ def similar_pairs_documents(spark, sf):
     return out.withColumn("cosine", F.round("cosine", 6))
 
 
+@query(
+    "similar_pairs_tree",
+    f"""WITH {COPIES_SQL}
+SELECT a.id AS a_doc_id, b.id AS b_doc_id, round(round(list_inner_product(a.v, b.v), 9), 6) AS cosine
+FROM firsts a JOIN firsts b ON a.h < b.h AND round(list_inner_product(a.v, b.v), 9) >= 0.9""",
+)
+def similar_pairs_tree(spark, sf):
+    """Few cells on the first level and small blocks: large cells get pivots of their own."""
+    d = spread(table(spark, sf, "documents")).select("doc_id", em.embed(F.col("text")).alias("v"))
+    out = similarity_join.similar_pairs(d, "doc_id", "v", 0.9, block=64, root_cells=16)
+    return out.withColumn("cosine", F.round("cosine", 6))
+
+
 @query(
     "vector_copies",
     f"""WITH {COPIES_SQL}
@@ -133,11 +146,9 @@ def near_duplicates(spark, sf):
 SELECT id AS vec_id FROM kept""",
 )
 def near_duplicates_rounds(spark, sf):
-    """Few sweeps and small blocks, so the pair join and the rounds do the work."""
+    """Short prefixes and small blocks, so the pair join and the rounds do the work."""
     e = table(spark, sf, "embeddings")
-    out = near_dup.near_dup(
-        e, "vec_id", "embedding", 0.35, sweeps=1, sweep_rows=32, block=128
-    )
+    out = near_dup.near_dup(e, "vec_id", "embedding", 0.35, first=32, block=128, linear=0)
     return out.select("vec_id")
 
 

@@ -1,35 +1,28 @@
 """Exact cosine joins in blocks of bounded size.
 
-Vectors are assigned to the cell of their nearest pivot. With an angle limit ``theta`` the triangle
-inequality says which other cells can hold a partner: a vector visits cell ``q`` only if its angle
-to pivot ``q`` is at most ``2 * theta`` above the angle to its own pivot. Every pair is looked at in
-one cell, the lower of the two homes. Cells are cut into blocks by the order hash and a task
-compares two blocks with one matrix product, so a cell that holds a third of the table becomes many
-equal tasks. Where cells do not pay (a low threshold, or vectors without clusters) all rows form
-one cell. Only pairs that reach the threshold leave a task.
+Close vectors meet in the cells of a tree of pivots (``pivot_tree``), which prune by the triangle
+inequality. Cells are cut into blocks by the order hash and a task compares two blocks with one matrix
+product, so a cell that holds a third of the table becomes many equal tasks. Where cells do not pay (a low
+threshold, or vectors without clusters) all rows form one cell. Only pairs that reach the threshold leave
+a task.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tunewright.functions.vectors import normalize, to_matrix
-from tunewright.operators.diversity import greedy_local
-from tunewright.operators.rank import HASH, as_list, first_by_hash, order_hash
+from tunewright.functions.vectors import normalize
+from tunewright.operators.pivot_tree import ROOT_CELLS, Cells, angle_limit, pivot_cells
+from tunewright.operators.rank import BROADCAST_ROWS, HASH, as_list, order_hash
 from tunewright.session import cut_lineage
 
 BLOCK = 4096
-MOST_CELLS = 2048  # half the pivot sample: cells grow with the root of the rows up to here
-PIVOT_SAMPLE = 4096
 DECIMALS = 9  # cosines are compared at nine decimals
-SLACK = 1e-6  # widens the angle limit against rounding
 
 
 def cosines(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -77,69 +70,45 @@ def _copies(rows: DataFrame, first: DataFrame, total: int) -> DataFrame:
     return pairs.filter(F.col("a") < F.col(HASH)).select("a", F.col(HASH).alias("b"))
 
 
-def _visits(pivots: np.ndarray, theta: float):
-    @F.arrow_udf("array<int>")
-    def visits(v: pa.Array) -> pa.Array:
-        angle = np.arccos(np.clip(to_matrix(v) @ pivots.T, -1.0, 1.0))
-        home = angle.argmin(axis=1)
-        reach = angle.min(axis=1) + 2 * theta + SLACK
-        lower = np.arange(len(pivots))[None, :] < home[:, None]
-        guest = (angle <= reach[:, None]) & lower
-        lists = [[int(h), *np.flatnonzero(g).tolist()] for h, g in zip(home, guest)]
-        return pa.array(lists, pa.list_(pa.int32()))
-
-    return visits(F.col("_v"))
-
-
-def _members(rows: DataFrame, total: int, threshold: float, block: int):
-    """Rows with their home and the cells they visit, and the rows of each cell."""
-    single = rows.select(HASH, "_v", F.lit(0).alias("_home"), F.lit(0).alias("_cell"))
-    cells = min(MOST_CELLS, max(total // block, math.isqrt(total)) if total >= 2 * block else 1)
-    if cells < 2 or threshold <= 0:
-        return single, {0: total}
-    # pivots far from each other, out of a seeded sample: every cluster of some size gets one
-    sample = to_matrix(first_by_hash(rows, PIVOT_SAMPLE, total).column("_v"))
-    pivots = sample[greedy_local(sample, cells)]
-    # cosines are rounded before they are compared, so a pair may be half a unit below
-    lowest = threshold - 0.5 * 10.0**-DECIMALS - 1e-12
-    theta = float(np.arccos(np.clip(lowest, -1.0, 1.0)))
-    placed = rows.withColumn("_cells", _visits(pivots, theta))
-    members = placed.select(
-        HASH, "_v", F.col("_cells")[0].alias("_home"), F.explode("_cells").alias("_cell")
-    )
-    sizes = {r["_cell"]: r["count"] for r in members.groupBy("_cell").count().collect()}
-    if sum(n * n for n in sizes.values()) > 0.5 * total * total:
-        return single, {0: total}
-    return members, sizes
-
-
-def edges(rows: DataFrame, total: int, threshold: float, block: int = BLOCK) -> DataFrame:
-    """All pairs ``(a, b, cosine)`` of order hashes with ``a < b`` and cosine >= threshold."""
-    members, sizes = _members(rows, total, threshold, block)
-    blocks = rows.sparkSession.createDataFrame(
-        [(c, max(1, -(-n // block))) for c, n in sizes.items()] or [(0, 1)], "_cell int, _g int"
-    )
+def _tasks(cells: Cells, block: int) -> DataFrame:
+    """Members with the blocks ``_i <= _j`` of their cell that they are compared in; ``_mine`` is their own."""
+    groups = cells.sizes.select("_cell", F.ceil(F.col("_n") / block).cast("int").alias("_g"))
+    if cells.cells <= BROADCAST_ROWS:
+        groups = F.broadcast(groups)
     mine = (hash_number(F.col(HASH)) % F.col("_g")).cast("int")
-    other = F.explode(F.sequence(F.lit(0), F.col("_g") - 1))
-    tasks = (
-        members.join(F.broadcast(blocks), "_cell")  # at most MOST_CELLS rows
+    return (
+        cells.members.join(groups, "_cell")
         .withColumn("_mine", mine)
-        .withColumn("_other", other)
+        .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_g") - 1)))
         .withColumn("_i", F.least("_mine", "_other"))
         .withColumn("_j", F.greatest("_mine", "_other"))
+        .drop("_g", "_other")
+        .groupBy("_cell", "_i", "_j")
     )
 
+
+def _near(left: pd.DataFrame, right: pd.DataFrame, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Cosines of two blocks of a cell, and which reach the threshold and belong to this cell."""
+    sims = cosines(np.stack(left["_v"].to_numpy()), np.stack(right["_v"].to_numpy()))
+    guests = left["_guest"].to_numpy()[:, None] & right["_guest"].to_numpy()[None, :]
+    return sims, (sims >= threshold) & (guests == 0)
+
+
+def edges(
+    rows: DataFrame, total: int, threshold: float, block: int = BLOCK, root_cells: int = ROOT_CELLS
+) -> DataFrame:
+    """All pairs ``(a, b, cosine)`` of order hashes with ``a < b`` and cosine >= threshold."""
+    cells = cells_for(rows.select(HASH, "_v"), total, threshold, block, root_cells)
+
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(HASH)
-        cell, i, j = (int(pdf[c].iloc[0]) for c in ("_cell", "_i", "_j"))
+        i, j = int(pdf["_i"].iloc[0]), int(pdf["_j"].iloc[0])
         left = pdf if i == j else pdf[pdf["_mine"] == i]
         right = pdf if i == j else pdf[pdf["_mine"] == j]
         if left.empty or right.empty:
             none = pd.Series([], dtype=str)
             return pd.DataFrame({"a": none, "b": none, "cosine": pd.Series([], dtype=float)})
-        sims = cosines(np.stack(left["_v"].to_numpy()), np.stack(right["_v"].to_numpy()))
-        hit = sims >= threshold
-        hit &= np.minimum.outer(left["_home"].to_numpy(), right["_home"].to_numpy()) == cell
+        sims, hit = _near(left, right, threshold)
         if i == j:
             hit = np.triu(hit, 1)
         at, to = np.nonzero(hit)
@@ -149,11 +118,42 @@ def edges(rows: DataFrame, total: int, threshold: float, block: int = BLOCK) ->
             {"a": np.where(swap, y, x), "b": np.where(swap, x, y), "cosine": sims[at, to]}
         )
 
-    return (
-        tasks.select("_cell", "_i", "_j", "_mine", "_home", HASH, "_v")
-        .groupBy("_cell", "_i", "_j")
-        .applyInPandas(compare, "a string, b string, cosine double")
+    return _tasks(cells, block).applyInPandas(compare, "a string, b string, cosine double")
+
+
+def struck(
+    rows: DataFrame, total: int, others: DataFrame, threshold: float, block: int = BLOCK,
+    root_cells: int = ROOT_CELLS,
+) -> DataFrame:
+    """The hashes of ``rows`` that have a vector of ``others`` with cosine >= threshold.
+
+    Both together make one tree. A task emits a row once, however many of the others are near it.
+    ``total`` counts both.
+    """
+    both = rows.select(HASH, "_v", F.lit(0).alias("_side")).unionByName(
+        others.select(HASH, "_v", F.lit(1).alias("_side"))
     )
+    cells = cells_for(both, total, threshold, block, root_cells)
+
+    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
+        i, j = int(pdf["_i"].iloc[0]), int(pdf["_j"].iloc[0])
+        found = []
+        for mine, other in {(i, j), (j, i)}:
+            left = pdf[(pdf["_mine"] == mine) & (pdf["_side"] == 0)]
+            right = pdf[(pdf["_mine"] == other) & (pdf["_side"] == 1)]
+            if not left.empty and not right.empty:
+                found.append(left[HASH][_near(left, right, threshold)[1].any(axis=1)])
+        return pd.DataFrame({HASH: pd.concat(found) if found else pd.Series([], dtype=str)})
+
+    return _tasks(cells, block).applyInPandas(compare, f"{HASH} string").distinct()
+
+
+def cells_for(
+    rows: DataFrame, total: int, threshold: float, block: int = BLOCK, root_cells: int = ROOT_CELLS
+) -> Cells:
+    """The cells in which pairs that reach the threshold meet."""
+    theta = angle_limit(threshold, DECIMALS)
+    return pivot_cells(rows, total, theta, block, hash_number(F.col(HASH)), root_cells)
 
 
 def _named(pairs: DataFrame, df: DataFrame, key: str | Sequence[str], seed: int) -> DataFrame:
@@ -176,6 +176,7 @@ def similar_pairs(
     threshold: float,
     seed: int = 42,
     block: int = BLOCK,
+    root_cells: int = ROOT_CELLS,
 ) -> DataFrame:
     """All pairs of distinct vectors with cosine >= threshold, the earlier of the seeded order first.
 
@@ -183,7 +184,7 @@ def similar_pairs(
     them. Both together are all pairs of rows, without a product of two groups of copies.
     """
     first = cut_lineage(collapse_copies(unit_vectors(df, key, vec, seed)))
-    pairs = edges(first.drop("_n"), first.count(), threshold, block)
+    pairs = edges(first.drop("_n"), first.count(), threshold, block, root_cells)
     return _named(pairs, df, key, seed)
 
 
