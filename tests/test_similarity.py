@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tunewright.operators import diversity, guard, near_dup, similarity_join
+from tunewright.operators import diversity, guard, near_dup, nearest, similarity_join
 from tunewright.operators.diversity import diverse_n
 from tunewright.session import cut_lineage
 
@@ -244,6 +244,31 @@ def test_scope_scores_of_large_anchor_tables(spark, vectors):
         assert small[i] == pytest.approx(e) and large[i] == pytest.approx(e)
 
 
+@pytest.mark.parametrize("part_rows", [65_536, 30])
+def test_nearest_anchors_of_many(spark, part_rows):
+    """Questions near anchors, far from all, equal to one, null and zero; anchors with copies and zeros."""
+    rng = np.random.default_rng(8)
+    y = np.vstack([clustered(500, 1), np.zeros((1, 24))])
+    x = np.vstack([clustered(300, 1)[::3], unit(rng.normal(size=(80, 24))), y[:20], -y[:9], np.zeros((2, 24))])
+    rows = [(i % 150, v.tolist()) for i, v in enumerate(x)] + [(7, None), (None, y[3].tolist())]
+    df = spark.createDataFrame(rows, "id int, v array<double>").repartition(3)
+    anchors = spark.createDataFrame([(v.tolist(),) for v in [*y, *y[:30]]], "a array<double>")
+    for given, zero in ((anchors, 0.0), (anchors.filter("aggregate(a, 0D, (s, e) -> s + abs(e)) > 0"), -1.0)):
+        out = nearest.max_cosine_join(df, "id", "v", given, "a", 16, part_rows).collect()
+        want = [(i, None if v is None else 0.0 if not any(v) else max(zero, (y[:500] @ np.array(v)).max())) for i, v in rows]
+        got = sorted(((r.id, None if r.max_cosine is None else round(r.max_cosine, 9)) for r in out), key=str)
+        assert got == sorted(((i, None if m is None else round(float(m), 9)) for i, m in want), key=str)
+
+
+def test_bounds_leave_anchors_unread():
+    y = clustered(5000, 1)
+    centre = y[0]
+    far = np.arccos(np.clip(y @ centre, -1, 1))
+    x = unit(centre + np.random.default_rng(3).normal(size=(40, 24)) * 0.001)
+    top, seen = nearest.best_of(x, np.arccos(np.clip(x @ centre, -1, 1)), y, far)
+    assert np.allclose(top, (x @ y.T).max(axis=1)) and seen < 3000
+
+
 def test_embedder_factory_runs_per_task(spark):
     from tunewright.functions import embed as em
 

@@ -10,11 +10,12 @@ from tunewright.functions import embed as em
 from tunewright.functions import vectors as vx
 from tunewright.operators.infer import PredictorFactory, predicted
 from tunewright.operators.prompt import strip_prompt
+from tunewright.operators.nearest import max_cosine_join
 from tunewright.operators.rank import BROADCAST_ROWS
-from tunewright.operators.similarity_join import BLOCK, max_cosine_join
+from tunewright.operators.similarity_join import BLOCK
 from tunewright.specs import REFUSAL_MESSAGE, GuardSpec
 
-# Anchors that fit one matrix in each Python worker; a larger table is joined in blocks.
+# Anchors that fit one matrix in each Python worker; in a larger table they are searched by cells.
 ANCHOR_ROWS = 4096
 assert ANCHOR_ROWS < BROADCAST_ROWS
 

@@ -194,53 +194,3 @@ def vector_copies(df: DataFrame, key: str | Sequence[str], vec: str, seed: int =
     first = cut_lineage(collapse_copies(rows))
     total = first.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
     return _named(_copies(rows, first, total), df, key, seed)
-
-
-def max_cosine_join(
-    left: DataFrame, key: str, vec: str, anchors: DataFrame, anchor_vec: str, block: int = BLOCK
-) -> DataFrame:
-    """Per left row the largest cosine to any anchor, for anchor tables of any size; null without
-    anchors.
-
-    Both sides are cut into blocks; a task takes one block of each and returns one maximum per left
-    vector, so the product is never written out.
-    """
-    rows = left.select(
-        F.col(key).alias("_k"), normalize(F.col(vec).cast("array<double>")).alias("_v")
-    )
-    x = rows.distinct()
-    y = anchors.select(normalize(F.col(anchor_vec).cast("array<double>")).alias("_v"))
-    gx, gy = max(1, -(-x.count() // block)), max(1, -(-y.count() // block))
-
-    def blocks(n: int) -> Column:
-        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-
-    lhs = x.withColumn("_i", F.pmod(F.xxhash64("_k", "_v"), F.lit(gx)).cast("int")).withColumn(
-        "_j", blocks(gy)
-    )
-    rhs = y.withColumn("_j", F.pmod(F.xxhash64("_v"), F.lit(gy)).cast("int")).withColumn(
-        "_i", blocks(gx)
-    )
-    kind = left.schema[key].dataType.simpleString()
-
-    def best(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        a = a[a["_v"].notna()]
-        if a.empty or b.empty:
-            none = pd.Series([], dtype=float)
-            return pd.DataFrame({"_k": a["_k"].iloc[:0], "_v": a["_v"].iloc[:0], "_m": none})
-        top = np.full(len(a), -np.inf)
-        xs, ys = np.stack(a["_v"].to_numpy()), np.stack(b["_v"].to_numpy())
-        for at in range(0, len(ys), BLOCK):  # copies of one anchor share a block
-            top = np.maximum(top, (xs @ ys[at : at + BLOCK].T).max(axis=1))
-        return pd.DataFrame({"_k": a["_k"].to_numpy(), "_v": a["_v"].to_numpy(), "_m": top})
-
-    part = (
-        lhs.groupBy("_i", "_j")
-        .cogroup(rhs.distinct().groupBy("_i", "_j"))
-        .applyInPandas(best, f"_k {kind}, _v array<double>, _m double")
-    )
-    top = part.groupBy(F.col("_k").alias("_key"), F.col("_v").alias("_vec")).agg(
-        F.max("_m").alias("max_cosine")
-    )
-    same = F.col("_k").eqNullSafe(F.col("_key")) & F.col("_v").eqNullSafe(F.col("_vec"))
-    return rows.join(top, same, "left").select(F.col("_k").alias(key), "max_cosine")
