@@ -229,3 +229,53 @@ def test_guard_verdicts(spark):
     after = GuardSpec(0.45, 0.4, ("money",), check_before=False)
     every = guard.predict_guarded(prompts, "p", lambda: (lambda ps, n: ps), after, word_embedder)
     assert {r.id: r.reason for r in every.collect()}[2] == "out_of_scope"
+
+
+def slow_clipped(pairs):
+    """Clipped precision by plain counting over all pairs."""
+    match, total, p_len, r_len = [0, 0], [0, 0], 0, 0
+    for p, r in pairs:
+        p, r = (re.findall("[a-z0-9]+", (t or "").lower()) for t in (p, r))
+        p_len, r_len = p_len + len(p), r_len + len(r)
+        for n in (1, 2):
+            x, y = (Counter(zip(*[t[i:] for i in range(n)], strict=False)) for t in (p, r))
+            match[n - 1] += sum(min(c, y[g]) for g, c in x.items())
+            total[n - 1] += sum(x.values())
+    share = [m / t if t else 0.0 for m, t in zip(match, total, strict=True)]
+    penalty = min(1.0, np.exp(1 - r_len / p_len)) if p_len else 0.0
+    score = penalty * (share[0] * share[1]) ** 0.5
+    return {"score": score, "length_penalty": penalty, "precision1": share[0], "precision2": share[1]}
+
+
+@pytest.mark.parametrize("tasks", [1, 7])
+def test_corpus_metric_merges_states(spark, tasks, monkeypatch):
+    """Whole and grouped, with a null group, a null text, and more groups than a task holds."""
+    monkeypatch.setattr(metrics, "HELD_GROUPS", 2)
+    monkeypatch.setattr(metrics, "FAN_IN", 2)
+    rows = [(p, r, i % 4 if i % 4 else None, "x") for i, p, r in PAIRS * 5] + [(None, "a b", 9, "x")]
+    df = spark.createDataFrame(rows, "prediction string, reference string, g int, h string").repartition(tasks)
+    metric = metrics.clipped_precision()
+    want = slow_clipped([r[:2] for r in rows])
+    got = {r.sub_metric: r.value for r in metric(df).collect()}
+    assert got == pytest.approx(want, abs=1e-6) and 0 < got["score"] < 1
+    out = metric(df, ["g", "h"]).collect()
+    for g in {r[2] for r in rows}:
+        want = slow_clipped([r[:2] for r in rows if r[2] == g])
+        assert {r.sub_metric: r.value for r in out if r.g == g and r.h == "x"} == pytest.approx(want, abs=1e-6)
+    assert len(out) == 4 * 5
+    none = df.limit(0)
+    assert {r.value for r in metric(none).collect()} == {0.0}
+    assert metric(none, ["g"]).count() == 0
+
+
+def test_run_all_by_group_and_of_nothing(pairs):
+    by = pairs.withColumn("g", F.col("id") % 2)
+    out = metrics.run_all(by, [*metrics.build(["rouge"]), metrics.clipped_precision()], ["g"])
+    rouge = {(r.g, r.sub_metric): r.value for r in out.collect() if r.metric == "rouge"}
+    for g in (0, 1):
+        for r in metrics.rouge(by.filter(F.col("g") == g)).collect():
+            assert rouge[g, r.sub_metric] == r.value
+    assert out.filter("metric = 'clipped_precision'").count() == 8
+    nothing = metrics.run_all(pairs, [])
+    assert nothing.columns == ["metric", "sub_metric", "value"] and nothing.count() == 0
+    assert ev.evaluate(by, ["refusal"], by=["g"]).filter("g = 1").count() == 3

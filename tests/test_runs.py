@@ -219,3 +219,40 @@ def test_whole_run(spark, tmp_path):
     assert got["rouge1"] == pytest.approx(2 / 3, abs=1e-6)
     lines = spark.read.json(str(tmp_path / "out" / "results" / "qualitative")).collect()
     assert [r.output for r in lines] == ["answer"]
+
+
+def files(path):
+    return {str(f): f.stat().st_mtime_ns for f in path.rglob("*.parquet")}
+
+
+def test_upsert_equals_the_whole_history(spark, events, tmp_path):
+    """Batches that overlap, arrive late and are repeated."""
+    base = str(tmp_path)
+    late, early = events.filter("seq > 4"), events.filter("seq < 8")
+    for batch, name in ((late, "b"), (early, "a"), (early, "c"), (events.limit(0), "empty")):
+        sinks.upsert_tracking(batch, base, name, "/srv", parts=4)
+    m = tables.read_upserted(spark, base, "metrics")
+    assert rows(m, "run_id", "key", "value", "step") == rows(track.metrics(events), "run_id", "key", "value", "step")
+    p = tables.read_upserted(spark, base, "params")
+    assert rows(p, "run_id", "key", "value") == rows(track.params(events, "/srv"), "run_id", "key", "value")
+    r = tables.read_upserted(spark, base, "runs")
+    assert sorted(map(str, r.collect())) == sorted(map(str, track.runs(events).collect()))
+
+
+def test_upsert_rewrites_only_what_a_batch_touches(spark, tmp_path):
+    def batch(ids, value, ts):
+        return spark.createDataFrame([(i, value, ts, 0) for i in ids], "k long, v string, ts double, seq long")
+
+    path = str(tmp_path / "t")
+    assert sinks.upsert(batch(range(200), "old", 1.0), path, ["k"], "1", parts=16)
+    before = files(tmp_path)
+    assert sinks.upsert(batch([5], "new", 2.0), path, ["k"], "2", parts=16)
+    after = files(tmp_path)
+    touched = {f for f in after if "/rows/" in f and f not in before}
+    assert len({f.split("_part=")[1].split("/")[0] for f in touched}) == 1
+    assert sum(f in before for f in after if "/rows/" in f) >= 10
+    # the same batch id, a late row, and a row of a key that is not there yet
+    assert not sinks.upsert(batch([5], "newest", 9.0), path, ["k"], "2", parts=16)
+    assert sinks.upsert(batch([5, 999], "late", 0.5), path, ["k"], "3", parts=16)
+    out = {r.k: r.v for r in spark.read.parquet(f"{path}/rows").collect()}
+    assert out == {i: "old" for i in range(200)} | {5: "new", 999: "late"}

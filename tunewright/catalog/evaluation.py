@@ -507,6 +507,48 @@ def custom_metric(spark, sf):
     return ev.evaluate(_pairs(spark, sf), [], "id", extra=[same_start()])
 
 
+def _clipped_sql(by: str) -> str:
+    """Corpus sums per group: ``by`` is a list of columns with a comma at the end, or nothing."""
+    group = f"GROUP BY {by.rstrip(', ')}" if by else ""
+
+    def grams(n: int, side: str) -> str:
+        return (
+            f"{side}{n} AS (SELECT id, turn, g, count(*) AS n FROM (SELECT id, turn, unnest(list_transform("
+            f"range(greatest(len({side}) - {n - 1}, 0)), lambda i: array_to_string({side}[i + 1:i + {n}], ' '))) AS g "
+            "FROM tok) GROUP BY 1, 2, 3)"
+        )
+
+    def sums(n: int) -> str:
+        return (
+            f"m{n} AS (SELECT {by} coalesce(sum(least(p.n, coalesce(r.n, 0))), 0) AS m, coalesce(sum(p.n), 0) AS t "
+            f"FROM p{n} p LEFT JOIN r{n} r USING (id, turn, g) {group})"
+        )
+
+    join = f"USING ({by.rstrip(', ')})" if by else "ON true"
+    return f"""WITH {PAIRS_SQL},
+tok AS (SELECT id, turn, regexp_extract_all(lower(prediction), '[a-z0-9]+') AS p,
+  regexp_extract_all(lower(reference), '[a-z0-9]+') AS r FROM pairs),
+{grams(1, "p")}, {grams(1, "r")}, {grams(2, "p")}, {grams(2, "r")}, {sums(1)}, {sums(2)},
+len AS (SELECT {by} sum(len(p)) AS p, sum(len(r)) AS r FROM tok {group}),
+v AS (SELECT {by} CASE WHEN len.p = 0 THEN 0.0 ELSE least(1.0, exp(1 - len.r / len.p)) END AS bp,
+  coalesce(m1.m / nullif(m1.t, 0), 0.0) AS p1, coalesce(m2.m / nullif(m2.t, 0), 0.0) AS p2
+  FROM len LEFT JOIN m1 {join} LEFT JOIN m2 {join})
+SELECT {by} 'clipped_precision' AS metric, unnest(['score', 'length_penalty', 'precision1', 'precision2']) AS sub_metric,
+  round(unnest([CASE WHEN p1 > 0 AND p2 > 0 THEN bp * exp((ln(greatest(p1, 1e-300)) + ln(greatest(p2, 1e-300))) / 2) ELSE 0.0 END,
+    bp, p1, p2]), 6) AS value FROM v"""
+
+
+@query("corpus_metric", _clipped_sql(""))
+def corpus_metric(spark, sf):
+    """A value that is no mean of rows, merged from the states of tasks."""
+    return ev.evaluate(_pairs(spark, sf), [], "id", extra=[metrics.clipped_precision()])
+
+
+@query("corpus_metric_by_turn", _clipped_sql("turn, "))
+def corpus_metric_by_turn(spark, sf):
+    return ev.evaluate(_pairs(spark, sf), [], "id", extra=[metrics.clipped_precision()], by=["turn"])
+
+
 RESULTS_SQL = f"WITH {REFUSAL_SQL} {refusal_rows_sql('', 'lang IS NULL')}"
 
 

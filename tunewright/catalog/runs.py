@@ -118,6 +118,30 @@ def metrics_current(spark, sf):
     return track.metrics(tracking_events(spark, sf))
 
 
+def _upserted(spark, sf, name):
+    """Two overlapping batches, the later one first, and the first one once more under another id."""
+    events = tracking_events(spark, sf)
+    base = scratch_path(spark, "upsert")
+    early, late = events.filter("pmod(seq, 10) < 6"), events.filter("pmod(seq, 10) > 3")
+    for batch, n in ((late, "b2"), (early, "b1"), (early, "b1"), (early, "b1 again")):
+        sinks.upsert_tracking(batch, base, n, "/srv", 8, [name])
+    return tables.read_upserted(spark, base, name)
+
+
+@query("upsert_metrics", f"WITH {EVENTS_SQL} SELECT run_id, key, value, step, ts FROM mc")
+def upsert_metrics(spark, sf):
+    return _upserted(spark, sf, "metrics").drop("seq")
+
+
+@query(
+    "upsert_params",
+    f"""WITH {EVENTS_SQL} SELECT run_id, key, value FROM ph
+QUALIFY row_number() OVER (PARTITION BY run_id, key ORDER BY ts DESC, seq DESC) = 1""",
+)
+def upsert_params(spark, sf):
+    return _upserted(spark, sf, "params").drop("ts", "seq")
+
+
 @query(
     "events_current",
     """SELECT * FROM events

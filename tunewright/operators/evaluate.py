@@ -65,10 +65,12 @@ def predict_pairs(
 def evaluate(
     pairs: DataFrame, names: Sequence[str], key: str = "id",
     extra: Sequence[metrics.Metric] = (), embedder: EmbedderFactory | None = None,
-    token_encoder: TokenEncoderFactory | None = None,
+    token_encoder: TokenEncoderFactory | None = None, by: Sequence[str] = (),
 ) -> DataFrame:
-    """All metrics as one long table. Call on pairs that are stored or cheap to recompute."""
-    return metrics.run_all(pairs, [*metrics.build(names, embedder, token_encoder), *extra])
+    """All metrics as one long table, per group if ``by`` is given. Call on pairs that are stored or cheap
+    to recompute.
+    """
+    return metrics.run_all(pairs, [*metrics.build(names, embedder, token_encoder), *extra], by)
 
 
 def evaluate_model(

@@ -8,6 +8,8 @@ pair.
 
 from __future__ import annotations
 
+import re
+from collections import Counter
 from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -26,7 +28,8 @@ from tunewright.functions.stem import stem_tokens
 from tunewright.functions.token_vectors import TokenEncoderFactory, best_match_scores
 from tunewright.specs import REFUSAL_MESSAGE
 
-Metric = Callable[[DataFrame], DataFrame]
+#: Of pairs, and of pairs and group columns where groups are asked for.
+Metric = Callable[..., DataFrame]
 #: An aggregate over row scores, which it gets by their names.
 Value = Callable[[Callable[[str], Column]], Column]
 TINY = 1e-9  # fixed value: keeps refusal ratios from dividing by zero
@@ -388,6 +391,146 @@ def from_row_scorer(
     )
 
 
+@dataclass(frozen=True)
+class CorpusMetric:
+    """A metric of a whole corpus that is no mean over rows.
+
+    ``partial`` makes a state (bytes) of a batch of pairs, ``merge`` makes one of two, ``finish`` turns the
+    last into values by sub-metric. Merging must not depend on the order. The state should not grow with
+    the rows: tasks hold one per group, and merge theirs in a tree, so a group with any share of the rows
+    reaches no task with more than the states of ``FAN_IN`` others. Groups without rows have no values; a
+    corpus without rows has those of an empty batch.
+    """
+
+    name: str
+    partial: Callable[[pa.RecordBatch], bytes]
+    merge: Callable[[bytes, bytes], bytes]
+    finish: Callable[[bytes], dict[str, float]]
+
+    def __call__(self, pairs: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+        by = list(by)
+        kinds = [f"`{c}` {pairs.schema[c].dataType.simpleString()}" for c in by]
+        used = [c for c in ("prediction", "reference", "answerable") if c in pairs.columns]
+        state = ", ".join([*kinds, "_part int, _state binary"])
+        rows = pairs.select(*used, *[F.col(c).alias(f"_by{i}") for i, c in enumerate(by)])
+        states = rows.mapInArrow(self._states(used, by), state)
+        for level in range(MERGES, 0, -1):
+            # a node of the tree sees FAN_IN states of a group, or one for each FAN_IN ** MERGES tasks
+            part = F.pmod("_part", F.lit(FAN_IN**level))
+            states = states.withColumn("_part", part).groupBy(*by, "_part").applyInArrow(self._merged(), state)
+        if not by:
+            empty = pa.RecordBatch.from_arrays([pa.array([], pa.string())] * len(used), names=used)
+            none = pairs.sparkSession.createDataFrame([(0, bytearray(self.partial(empty)))], state)
+            states = states.unionByName(none)
+        schema = ", ".join([*kinds, "metric string, sub_metric string, value double"])
+        out = states.groupBy(*by).applyInArrow(self._finished(by), schema)
+        return out.withColumn("value", F.round("value", 6))
+
+    def _states(self, used: list[str], by: list[str]):
+        def run(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+            from pyspark import TaskContext
+
+            held: dict[tuple, bytes] = {}
+            kinds = None
+
+            def flush() -> pa.RecordBatch:
+                columns = [pa.array([k[i] for k in held], kinds[i]) for i in range(len(by))]
+                part = pa.array([TaskContext.get().partitionId()] * len(held), pa.int32())
+                out = pa.RecordBatch.from_arrays(
+                    [*columns, part, pa.array(list(held.values()), pa.binary())], names=[*by, "_part", "_state"]
+                )
+                held.clear()
+                return out
+
+            for b in batches:
+                if not b.num_rows:
+                    continue
+                groups = [b.column(f"_by{i}") for i in range(len(by))]
+                kinds = [g.type for g in groups]
+                for key, rows in _groups_of(groups, b.num_rows):
+                    found = self.partial(b.select(used).take(rows) if by else b.select(used))
+                    held[key] = self.merge(held[key], found) if key in held else found
+                if len(held) > HELD_GROUPS:
+                    yield flush()
+            if held:
+                yield flush()
+
+        return run
+
+    def _merged(self):
+        def run(table: pa.Table) -> pa.Table:
+            state = reduce(self.merge, table.column("_state").to_pylist())
+            one = table.slice(0, 1)
+            return one.set_column(one.schema.get_field_index("_state"), "_state", pa.array([state], pa.binary()))
+
+        return run
+
+    def _finished(self, by: list[str]):
+        def run(table: pa.Table) -> pa.Table:
+            values = self.finish(reduce(self.merge, table.column("_state").to_pylist()))
+            n = len(values)
+            columns = {c: pa.array([table.column(c)[0].as_py()] * n, table.schema.field(c).type) for c in by}
+            return pa.table(
+                columns
+                | {
+                    "metric": pa.array([self.name] * n, pa.string()),
+                    "sub_metric": pa.array(list(values), pa.string()),
+                    "value": pa.array([float(v) for v in values.values()], pa.float64()),
+                }
+            )
+
+        return run
+
+
+FAN_IN = 64
+MERGES = 2  # levels below the last
+HELD_GROUPS = 10_000
+
+
+def _groups_of(columns: list[pa.Array], rows: int) -> Iterable[tuple[tuple, pa.Array]]:
+    """The groups of a batch and the numbers of their rows."""
+    if not columns:
+        return [((), None)]
+    table = pa.table([*columns, pa.array(np.arange(rows))], names=[*map(str, range(len(columns))), "row"])
+    found = table.group_by(list(map(str, range(len(columns))))).aggregate([("row", "list")])
+    keys = zip(*(found.column(str(i)).to_pylist() for i in range(len(columns))), strict=True)
+    return [(k, r.values) for k, r in zip(keys, found.column("row_list"), strict=True)]
+
+
+def clipped_precision(max_n: int = 2) -> CorpusMetric:
+    """Clipped n-gram precision over the corpus with a penalty for short predictions (BLEU, 2002).
+
+    The state is the clipped matches and the n-grams predicted for each n, and the tokens of both sides.
+    Tokens are runs of a-z and 0-9 in the lower-cased text; null is empty. The value is 0 where some n
+    has no match.
+    """
+    word = re.compile("[a-z0-9]+")
+
+    def partial(batch: pa.RecordBatch) -> bytes:
+        out = np.zeros(2 * max_n + 2)
+        for p, r in zip(*(batch.column(c).to_pylist() for c in ("prediction", "reference")), strict=True):
+            p, r = (word.findall((t or "").lower()) for t in (p, r))
+            out[-2:] += len(p), len(r)
+            for n in range(1, max_n + 1):
+                x, y = (Counter(zip(*[t[i:] for i in range(n)], strict=False)) for t in (p, r))
+                out[n - 1] += (x & y).total()
+                out[max_n + n - 1] += x.total()
+        return out.tobytes()
+
+    def merge(a: bytes, b: bytes) -> bytes:
+        return (np.frombuffer(a) + np.frombuffer(b)).tobytes()
+
+    def finish(state: bytes) -> dict[str, float]:
+        x = np.frombuffer(state)
+        match, total, (p, r) = x[:max_n], x[max_n:-2], x[-2:]
+        penalty = 0.0 if not p else min(1.0, float(np.exp(1 - r / p)))
+        share = np.divide(match, total, out=np.zeros(max_n), where=total > 0)
+        value = penalty * float(np.exp(np.log(share).mean())) if (share > 0).all() else 0.0
+        return {"score": value, "length_penalty": penalty} | {f"precision{n + 1}": v for n, v in enumerate(share)}
+
+    return CorpusMetric("clipped_precision", partial, merge, finish)
+
+
 def build(
     names: Sequence[str], embedder: em.EmbedderFactory | None = None,
     token_encoder: TokenEncoderFactory | None = None,
@@ -399,9 +542,12 @@ def build(
     return [BUILTIN[n](embedder, token_encoder) for n in names]
 
 
-def run_all(pairs: DataFrame, metrics: Sequence[Metric]) -> DataFrame:
-    """Metrics over rows share one pass; any other function of the pairs has its own."""
+def run_all(pairs: DataFrame, metrics: Sequence[Metric], by: Sequence[str] = ()) -> DataFrame:
+    """Metrics over rows share one pass; any other has its own. With ``by``, each is given per group."""
     rows = [m for m in metrics if isinstance(m, RowMetric)]
-    tables = [in_one_pass(pairs, rows)] if rows else []
-    tables += [m(pairs) for m in metrics if not isinstance(m, RowMetric)]
+    tables = [in_one_pass(pairs, rows, by)] if rows else []
+    tables += [m(pairs, by) if by else m(pairs) for m in metrics if not isinstance(m, RowMetric)]
+    if not tables:
+        none = pairs.select(*by, F.lit("").alias("metric"), F.lit("").alias("sub_metric"), F.lit(0.0).alias("value"))
+        return none.limit(0)
     return reduce(DataFrame.unionByName, tables)

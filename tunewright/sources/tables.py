@@ -86,3 +86,9 @@ def current_tracking(
         return track.runs(history)
     keys = ["run_id", "key", "step"] if table == "metrics" else ["run_id", "key"]
     return track.current(history, keys)
+
+
+def read_upserted(spark: SparkSession, base: str, table: str) -> DataFrame:
+    """A current table that ``sinks.upsert_tracking`` keeps; for ``runs`` one row per started run."""
+    rows = spark.read.parquet(f"{base.rstrip('/')}/{table}/rows").drop("_part")
+    return track.runs(rows) if table == "runs" else rows
