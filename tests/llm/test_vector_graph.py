@@ -1,6 +1,7 @@
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from tunewright.llm import vector_graph as G
 from tunewright.llm.components import Union
@@ -98,6 +99,27 @@ def test_odd_vectors(spark):
     assert {r.n_links for r in G.near_copies(df.filter("vec_id = 3")).collect()} == {0}
 
 
+def test_vectors_of_several_lengths(spark):
+    """As many as there are: each length links among itself, the rarer ones too."""
+    rng = np.random.default_rng(2)
+    rows, want = [], {}
+    for d, n in ((3, 40), (2, 25), (7, 1)):
+        x = unit(rng.normal(size=(n, d)))
+        x[n // 2 :] = x[: n - n // 2]
+        ids = np.arange(n) + 100 * d
+        found = brute(ids, x)
+        want |= {int(i): (int(a), int(c)) for i, a, c in zip(ids, *found, strict=True)}
+        rows += [(int(i), v.tolist()) for i, v in zip(ids, x, strict=True)]
+    rows += [(1, None), (2, [0.0, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    out = G.near_copies(df)
+    got = {r.vec_id: (r.n_links, r.component_id) for r in out.collect()}
+    assert got == want | {1: (0, 1), 2: (0, 2)}
+    assert G.audit(df, out) == 1.0
+    # links that were lost of rows without any link left lower the recall
+    assert G.audit(df, out.withColumn("n_links", F.when(F.col("vec_id") < 300, 0).otherwise(F.col("n_links")))) < 0.9
+
+
 def test_pruned_graph_is_searched_whole():
     rng = np.random.default_rng(5)
     x = unit(rng.normal(size=(600, 16)))

@@ -22,8 +22,8 @@ Links are pairs of vectors whose cosine, in double precision, reaches the thresh
 No task holds more than a slice of nodes and a block of queries, and no list of links reaches the
 driver.
 
-Defined results: vectors that are null, zero, of another length than most, or hold null or non-finite
-components link with nothing, nor do rows without an id; copies link with each other. Repeated rows
+Defined results: vectors that are null, zero, or hold null or non-finite components link with nothing,
+nor do vectors of unlike lengths (each length has a graph) or rows without an id; copies link with each other. Repeated rows
 count each. An empty table gives an empty result. Columns of the input that are called like an
 output column are replaced.
 """
@@ -32,10 +32,12 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tunewright.llm.components import components
@@ -443,18 +445,26 @@ def graph(singles: DataFrame) -> tuple[DataFrame, DataFrame]:
     return placed, store(united, "adjacency")
 
 
-def link(df: DataFrame, key: str = "vec_id", vector: str = "embedding", threshold: float = 0.95) -> dict:
-    """Tables ``nodes`` (with balls), ``pairs`` (verified links between nodes of which one at least is
+def valid(key: str, vector: str) -> Column:
+    """Can the row link at all?"""
+    v = F.col(vector).cast("array<double>")
+    finite = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    return F.col(key).isNotNull() & finite & F.exists(v, lambda x: x != 0)
+
+
+def lengths(df: DataFrame, key: str, vector: str) -> list[int]:
+    """The lengths of the valid vectors, most frequent first. Vectors of two lengths have no cosine."""
+    sizes = df.filter(valid(key, vector)).groupBy(F.size(vector).alias("d")).count()
+    return [r["d"] for r in sizes.orderBy(F.desc("count"), "d").collect()]
+
+
+def link(df: DataFrame, dim: int, key: str = "vec_id", vector: str = "embedding", threshold: float = 0.95) -> dict:
+    """Of the vectors of length ``dim``: tables ``nodes`` (with balls), ``pairs`` (verified links between nodes of which one at least is
     outside balls), ``counts`` (links counted in balls) and ``edges`` (enough links to connect them).
     """
     spark = df.sparkSession
-    v = F.col(vector).cast("array<double>")
-    finite = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    good = F.col(key).isNotNull() & finite & F.exists(v, lambda x: x != 0)
-    rows = df.filter(good).select(F.col(key).alias("id"), F.col(vector).alias("vec"))
-    sizes = rows.groupBy(F.size("vec").alias("d")).count().orderBy(F.desc("count"), "d").limit(1).collect()
-    dim = sizes[0]["d"] if sizes else 0
-    rows = rows.filter(F.size("vec") == dim)
+    rows = df.filter(valid(key, vector) & (F.size(vector) == dim))
+    rows = rows.select(F.col(key).alias("id"), F.col(vector).alias("vec"))
     distinct = rows.groupBy("vec").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("weight"))
     distinct = store(distinct.withColumn("node", F.monotonically_increasing_id()), "vectors")
     n = distinct.count()
@@ -523,11 +533,8 @@ def link(df: DataFrame, key: str = "vec_id", vector: str = "embedding", threshol
     return {"nodes": nodes, "pairs": store(pairs, "pairs"), "counts": counts, "edges": edges}
 
 
-def near_copies(
-    df: DataFrame, key: str = "vec_id", vector: str = "embedding", threshold: float = 0.95
-) -> DataFrame:
-    """Per row: the key, n_links, component_id and kept."""
-    t = link(df, key, vector, threshold)
+def _named(t: dict) -> DataFrame:
+    """(vec, n_links, component_id) of the tables of ``link``."""
     nodes, pairs = t["nodes"], t["pairs"]
     weight = nodes.select("node", "weight")
     # a member of a ball never meets its own ball in the graph
@@ -540,9 +547,17 @@ def near_copies(
     named = named.withColumn("root", F.coalesce("root", "node"))
     smallest = named.groupBy("root").agg(F.min("first").alias("component_id"))
     named = named.join(smallest, "root").join(counts, "node", "left")
-    named = named.select(
+    return named.select(
         "vec", (F.coalesce("n", F.lit(0)) + F.col("weight") - 1).alias("n_links"), "component_id"
     )
+
+
+def near_copies(
+    df: DataFrame, key: str = "vec_id", vector: str = "embedding", threshold: float = 0.95
+) -> DataFrame:
+    """Per row: the key, n_links, component_id and kept. A graph is built for each length of vectors."""
+    parts = [_named(link(df, d, key, vector, threshold)) for d in lengths(df, key, vector) or [0]]
+    named = reduce(DataFrame.unionByName, parts)
     out = df.select(F.col(key), F.col(vector).alias("vec")).join(named, "vec", "left")
     some = F.col(key).isNotNull()
     return out.select(
@@ -558,26 +573,32 @@ def audit(
     threshold: float = 0.95, queries: int = AUDIT,
 ) -> float:
     """Recall of ``linked`` (what ``near_copies`` returns for ``df``): links that it has of those that
-    brute force finds for ``queries`` rows, the linked ones first.
+    brute force finds for ``queries`` rows. They are drawn by hash from all valid rows, whatever was
+    found for them; keys must be unique.
     """
-    most = linked.filter("n_links > 0").orderBy(F.xxhash64(key)).limit(queries).select(key, "n_links")
-    asked = df.join(F.broadcast(most), key).select("n_links", F.col(vector).alias("vec")).toArrow()
+    rows = df.filter(valid(key, vector))
+    drawn = F.broadcast(rows.orderBy(F.xxhash64(key), key).limit(queries).select(key, F.col(vector).alias("vec")))
+    asked = linked.join(drawn, key).select("n_links", "vec").toArrow()
     if not asked.num_rows:
         return 1.0
-    q = df.sparkSession.sparkContext.broadcast(_matrix(asked["vec"].combine_chunks()))
-    v = F.col(vector).cast("array<double>")
-    finite = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    same = F.size(v) == q.value.shape[1]
-    rows = df.filter(F.col(key).isNotNull() & finite & F.exists(v, lambda x: x != 0) & same)
+    vectors = asked["vec"].combine_chunks()
+    size = pc.list_value_length(vectors).to_numpy()
+    q = {int(d): _matrix(vectors.take(pa.array(np.flatnonzero(size == d)))) for d in np.unique(size)}
+    shared = df.sparkSession.sparkContext.broadcast(q)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n = 0
         for b in batches:
-            n += int((q.value @ _matrix(b.column(0)).T >= threshold).sum())
+            size = pc.list_value_length(b.column(0)).to_numpy()
+            for d, x in shared.value.items():
+                some = np.flatnonzero(size == d)
+                if len(some):
+                    n += int((x @ _matrix(b.column(0).take(pa.array(some))).T >= threshold).sum())
         yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], names=["n"])
 
     total = rows.select(vector).mapInArrow(run, "n bigint").agg(F.sum("n")).first()[0]
-    return sum(asked["n_links"].to_pylist()) / max(1, total - asked.num_rows)
+    links = total - asked.num_rows
+    return sum(asked["n_links"].to_pylist()) / links if links > 0 else 1.0
 
 
 @query("op9_robust_pruned_graph")
