@@ -77,7 +77,10 @@ def _apart(kept: np.ndarray, threshold: float):
     def apart(v: pa.Array) -> pa.Array:
         if not len(v):
             return pa.array([], pa.bool_())
-        return pa.array(cosines(to_matrix(v), kept).max(axis=1) < threshold)
+        x = to_matrix(v)
+        # a strip at a time: the rows of a batch have many cosines
+        far = [cosines(x[i : i + 512], kept).max(axis=1) < threshold for i in range(0, len(x), 512)]
+        return pa.array(np.concatenate(far))
 
     return apart(F.col("_v"))
 
@@ -107,7 +110,9 @@ def _degree(probes: np.ndarray, threshold: float) -> Column:
     def degree(v: pa.Array) -> pa.Array:
         if not len(v):
             return pa.array([], pa.int64())
-        return pa.array((cosines(to_matrix(v), probes) >= threshold).sum(axis=1))
+        x = to_matrix(v)
+        near = [(cosines(x[i : i + 512], probes) >= threshold).sum(axis=1) for i in range(0, len(x), 512)]
+        return pa.array(np.concatenate(near))
 
     return degree(F.col("_v"))
 

@@ -9,7 +9,7 @@ a task.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -22,6 +22,7 @@ from tunewright.operators.rank import BROADCAST_ROWS, HASH, as_list, order_hash
 from tunewright.session import cut_lineage
 
 BLOCK = 4096
+STRIP = 512  # rows of a block compared at once
 DECIMALS = 9  # cosines are compared at nine decimals
 
 
@@ -87,11 +88,22 @@ def _tasks(cells: Cells, block: int) -> DataFrame:
     )
 
 
-def _near(left: pd.DataFrame, right: pd.DataFrame, threshold: float) -> tuple[np.ndarray, np.ndarray]:
-    """Cosines of two blocks of a cell, and which reach the threshold and belong to this cell."""
-    sims = cosines(np.stack(left["_v"].to_numpy()), np.stack(right["_v"].to_numpy()))
-    guests = left["_guest"].to_numpy()[:, None] & right["_guest"].to_numpy()[None, :]
-    return sims, (sims >= threshold) & (guests == 0)
+def _near(
+    left: pd.DataFrame, right: pd.DataFrame, threshold: float, same: bool = False
+) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Rows of two blocks of a cell that reach the threshold and belong to this cell, and their cosines.
+
+    A strip of the left block at a time; of the ``same`` block each pair once.
+    """
+    x, y = (np.stack(side["_v"].to_numpy()) for side in (left, right))
+    guest, other = left["_guest"].to_numpy(), right["_guest"].to_numpy()
+    for i in range(0, len(x), STRIP):
+        sims = cosines(x[i : i + STRIP], y)
+        at, to = np.nonzero(sims >= threshold)
+        kept = (guest[at + i] & other[to]) == 0
+        if same:
+            kept &= to > at + i
+        yield at[kept] + i, to[kept], sims[at[kept], to[kept]]
 
 
 def edges(
@@ -108,15 +120,10 @@ def edges(
         if left.empty or right.empty:
             none = pd.Series([], dtype=str)
             return pd.DataFrame({"a": none, "b": none, "cosine": pd.Series([], dtype=float)})
-        sims, hit = _near(left, right, threshold)
-        if i == j:
-            hit = np.triu(hit, 1)
-        at, to = np.nonzero(hit)
+        at, to, sims = map(np.concatenate, zip(*_near(left, right, threshold, i == j), strict=True))
         x, y = left[HASH].to_numpy()[at], right[HASH].to_numpy()[to]
         swap = x > y
-        return pd.DataFrame(
-            {"a": np.where(swap, y, x), "b": np.where(swap, x, y), "cosine": sims[at, to]}
-        )
+        return pd.DataFrame({"a": np.where(swap, y, x), "b": np.where(swap, x, y), "cosine": sims})
 
     return _tasks(cells, block).applyInPandas(compare, "a string, b string, cosine double")
 
@@ -142,7 +149,8 @@ def struck(
             left = pdf[(pdf["_mine"] == mine) & (pdf["_side"] == 0)]
             right = pdf[(pdf["_mine"] == other) & (pdf["_side"] == 1)]
             if not left.empty and not right.empty:
-                found.append(left[HASH][_near(left, right, threshold)[1].any(axis=1)])
+                hit = np.unique(np.concatenate([at for at, _, _ in _near(left, right, threshold)]))
+                found.append(left[HASH].iloc[hit])
         return pd.DataFrame({HASH: pd.concat(found) if found else pd.Series([], dtype=str)})
 
     return _tasks(cells, block).applyInPandas(compare, f"{HASH} string").distinct()
