@@ -10,7 +10,7 @@ from tunewright.operators import report, track
 from tunewright.session import scratch_path
 from tunewright.sources import sinks, tables
 from tunewright.specs import PromptSpec
-from tunewright.streaming import ingest
+from tunewright.streaming import ingest, state
 
 KINDS = {
     "signup": "start",
@@ -307,6 +307,20 @@ def stream_current(spark, sf):
     return current.select("run_id", "key", "value", "step")
 
 
+@query("stream_state", f"WITH {EVENTS_SQL} SELECT run_id, key, value, step, ts FROM mc")
+def stream_state(spark, sf):
+    """The current metrics kept by a stateful stream of files: two overlapping parts, the later one
+    first."""
+    history = track.metric_history(tracking_events(spark, sf))
+    folder, target = scratch_path(spark, "history"), scratch_path(spark, "state")
+    for part in ("pmod(seq, 10) > 3", "pmod(seq, 10) < 6"):
+        history.filter(part).write.mode("append").parquet(folder)
+    stream = spark.readStream.schema(history.schema).option("maxFilesPerTrigger", 1000).parquet(folder)
+    offsets = scratch_path(spark, "offsets")
+    state.keep_current(state.metric_changes(stream), target, offsets).awaitTermination()
+    return spark.read.parquet(f"{target}/rows").select("run_id", "key", "value", "step", "ts")
+
+
 @query(
     "stream_prompts",
     f"""SELECT conv_id, turn, 'Role: ' || role || '\n' || lower({strip_sql("text")}) AS formatted_text
