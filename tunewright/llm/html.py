@@ -20,6 +20,8 @@ itself. Columns of the input that are called like an output column are replaced.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
+from collections import defaultdict, deque
 from collections.abc import Iterator
 from html import unescape
 
@@ -89,12 +91,12 @@ class Node:
         self.score, self.text, self.links = 0.0, 0, 0
 
 
-def _drops(tag: str, attributes: str, parent: Node) -> bool:
+def _drops(tag: str, attributes: str, path: Path) -> bool:
     if tag in DROPPED:
         return True
     if tag == "header":
         # the heading of an article stays
-        return not _within(parent, ("article", "main"))
+        return not path.nearest(("article", "main"))
     if "=" not in attributes and "hidden" not in attributes:
         return False
     found = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTR.finditer(attributes)}
@@ -118,17 +120,58 @@ def _marks(name: str) -> bool:
     return not (hits <= HEADER_NAMES and KEPT_NAMES.intersection(words))
 
 
-def _within(node: Node | None, tags: tuple[str, ...]) -> Node | None:
-    while node is not None and node.tag not in tags:
-        node = node.parent
-    return node
+class Path:
+    """The open elements from the root to the current one, with their depths by tag."""
+
+    def __init__(self, root: Node):
+        self.nodes = [root]
+        self.blocks: list[int] = []
+        self.by_tag: dict[str, list[int]] = defaultdict(list)
+
+    def push(self, node: Node) -> None:
+        if node.tag in BLOCK:
+            self.blocks.append(len(self.nodes))
+        self.by_tag[node.tag].append(len(self.nodes))
+        self.nodes.append(node)
+
+    def cut(self, depth: int) -> None:
+        """Close the element at ``depth`` and all below it; each element is closed once."""
+        while len(self.nodes) > depth:
+            tag = self.nodes.pop().tag
+            self.by_tag[tag].pop()
+            if tag in BLOCK:
+                self.blocks.pop()
+
+    def nearest(self, tags: tuple[str, ...]) -> int:
+        """Depth of the innermost open element of these tags, 0 if there is none."""
+        return max((self.by_tag[t][-1] for t in tags if self.by_tag.get(t)), default=0)
+
+    def start(self, tag: str) -> None:
+        """Close what a starting block ends: an open paragraph, or list and table parts of its kind."""
+        # only inline elements can stand between an open paragraph and this place
+        if self.blocks and self.nodes[self.blocks[-1]].tag == "p":
+            self.cut(self.blocks[-1])
+        if tag in _ENDS:
+            tags, scope = _ENDS[tag]
+            outer = self.nearest(scope)
+            ended = [self.by_tag[t] for t in tags.split() if self.nearest((t,)) > outer]
+            if ended:
+                self.cut(min(d[bisect_right(d, outer)] for d in ended))
+
+    def end(self, tag: str) -> None:
+        depth = self.nearest((tag,))
+        # an end tag does not reach beyond the block around it, unless it ends a block itself
+        if depth and (tag in BLOCK or not self.blocks or self.blocks[-1] < depth):
+            self.cut(depth)
 
 
 def parse(html: str) -> Node:
     """The tree of a page; dropped elements keep no text."""
-    root = node = Node("#root", None)
+    root = Node("#root", None)
+    path = Path(root)
     at, n = 0, len(html)
     for m in iter(lambda: _TAG.search(html, at), None):
+        node = path.nodes[-1]
         if m.start() > at and not node.dropped:
             node.children.append(unescape(html[at : m.start()]))
         at = max(m.end(), m.start() + 1)
@@ -141,15 +184,16 @@ def parse(html: str) -> Node:
             continue
         tag = tag.lower()
         if m[2]:
-            node = _close(node, tag)
+            path.end(tag)
             continue
         if tag in BLOCK:
-            node = _open_block(node, tag)
+            path.start(tag)
+            node = path.nodes[-1]
         if tag in VOID:
             if not node.dropped:
                 node.children.append(Node(tag, node))
             continue
-        child = Node(tag, node, node.dropped or _drops(tag, m[4], node))
+        child = Node(tag, node, node.dropped or _drops(tag, m[4], path))
         if not child.dropped or not node.dropped:
             node.children.append(child)
         if tag in RAW:
@@ -157,41 +201,13 @@ def parse(html: str) -> Node:
             at = end.end() if end else n
             continue
         if not m[4].rstrip().endswith("/") or tag not in ("svg", "path", "math"):
-            node = child
+            path.push(child)
+    node = path.nodes[-1]
     if at < n and not node.dropped:
         node.children.append(unescape(html[at:]))
     return root
 
 
-def _open_block(node: Node, tag: str) -> Node:
-    """Close what a starting block ends: an open paragraph, or list and table parts of its kind."""
-    x = node
-    # only inline elements can stand between an open paragraph and this place
-    while x.parent is not None and x.tag not in BLOCK:
-        x = x.parent
-    if x.tag == "p":
-        node = x.parent
-    if tag in _ENDS:
-        tags, scope = _ENDS[tag]
-        x, out = node, None
-        while x.parent is not None and x.tag not in scope:
-            if x.tag in tags.split():
-                out = x.parent
-            x = x.parent
-        node = out or node
-    return node
-
-
-def _close(node: Node, tag: str) -> Node:
-    x = node
-    while x.parent is not None and x.tag != tag:
-        # an end tag does not reach beyond the block around it, unless it ends a block itself
-        if tag not in BLOCK and x.tag in BLOCK:
-            return node
-        x = x.parent
-    return x.parent if x.parent is not None else node
-
-
 def _order(root: Node) -> list[Node]:
     """All kept nodes, parents first; without recursion, as pages may be deep."""
     out, todo = [], [root]
@@ -263,17 +279,17 @@ def main_nodes(root: Node) -> list[Node | str]:
     if not candidates:
         return []
     best = max(candidates, key=lambda x: x.score * (BONUS if x.tag in ("article", "main") else 1.0))
-    kept, inner = [best], best
+    kept: deque[Node | str] = deque([best])
+    inner = best
     while inner.parent is not None:
-        around = [c for c in inner.parent.children if isinstance(c, str) or not c.dropped]
-        out: list[Node | str] = []
-        for c in around:
-            if c is inner:
-                out.extend(kept)
-            elif _beside(c, best):
-                out.append(c)
-        kept, inner = out, inner.parent
-    return kept
+        around = inner.parent.children
+        at = next(i for i, c in enumerate(around) if c is inner)
+        for add, siblings in ((kept.appendleft, reversed(around[:at])), (kept.append, around[at + 1 :])):
+            for c in siblings:
+                if (isinstance(c, str) or not c.dropped) and _beside(c, best):
+                    add(c)
+        inner = inner.parent
+    return list(kept)
 
 
 def blocks(nodes: list[Node]) -> list[str]:
