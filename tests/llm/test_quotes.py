@@ -54,6 +54,58 @@ def test_links(spark):
     assert say(None, 1) == ("yes", 0, True, 1)
 
 
+def walk(parents):
+    """Places of messages in reply order, by depth first search."""
+    below = defaultdict(list)
+    for i, p in enumerate(parents):
+        below[p].append(i)
+    place, todo = {}, [0]
+    while todo:
+        i = todo.pop()
+        place[i] = len(place)
+        todo.extend(reversed(below[i]))
+    return place
+
+
+def test_reply_order(spark):
+    rows = [
+        (1, 0, "u", "Root here.", ""),
+        (1, 1, "u", "> Root here.\nFirst branch.", ""),
+        (1, 2, "u", "> Root here.\nSecond branch.", ""),
+        (1, 3, "u", "> First branch.\nDeep.", ""),
+        (2, 0, "u", "Only one.", ""),
+        (2, 1, "u", "Next.", ""),
+    ]
+    got = {(r.conv_id, r.turn): r.position for r in Q.link(build(spark, rows)).collect()}
+    assert got == {(1, 0): 0, (1, 1): 1, (1, 2): 3, (1, 3): 2, (2, 0): 0, (2, 1): 1}
+
+
+def test_names_that_the_operator_uses_itself(spark):
+    rows = [(1, 0, "a", 5, 6, 7), (1, 1, "> a\nb", 8, 9, 10), (1, 1, "> a\nb", 8, 9, 10)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, text string, _g long, c0 long, `x.y` long")
+    got = Q.link(df).collect()
+    assert sorted((r.position, r._g, r.c0, r["x.y"], r.by_quote) for r in got) == [
+        (0, 5, 6, 7, False), (1, 8, 9, 10, True), (2, 8, 9, 10, True),
+    ]
+
+
+def test_one_message_with_all_answers_and_long_ways(spark):
+    """Random trees against the depth first search: a hub, a chain, and mixtures."""
+    rng = random.Random(2)
+    trees = [[-1] + [0] * 300, [-1, 0, *range(1, 150), 0, 5], [-1]]
+    trees += [[-1] + [rng.randrange(max(0, i - k), i) for i in range(1, n)] for k, n in ((2, 90), (9, 60), (99, 80))]
+    rows, want, first = [], {}, 0
+    for parents in trees:
+        place = walk(parents)
+        for i, p in enumerate(parents):
+            rows.append((first + i, first, first + p if i else None))
+            want[first + i] = place[i]
+        first += len(parents)
+    tree = spark.createDataFrame(rows, "_g long, _first long, _p long").repartition(5)
+    got = Q.reply_order(tree).collect()
+    assert len(got) == len(want) and {r._g: r.position for r in got} == want
+
+
 def slow(rows):
     """Positions and answers by conversation, as defined."""
     groups = defaultdict(list)
@@ -62,7 +114,7 @@ def slow(rows):
     out = {}
     for conv, items in groups.items():
         items.sort()
-        first = {}
+        first, parents = {}, []
         for i, (turn, text) in enumerate(items):
             own, passages = Q.parse(text)
             chars = defaultdict(int)
@@ -71,9 +123,13 @@ def slow(rows):
                     if level == 1 and h in first:
                         chars[first[h]] += n
             answer = max(chars, key=lambda k: (chars[k], k)) if chars else i - 1
-            out[conv, turn] = (own, items[answer][0] if answer >= 0 else None, bool(chars), i)
+            parents.append(answer)
+            out[conv, turn] = (own, items[answer][0] if answer >= 0 else None, bool(chars))
             for h in Q.units(own):
                 first.setdefault(h, i)
+        place = walk(parents)
+        for i, (turn, _) in enumerate(items):
+            out[conv, turn] += (place[i],)
     return out
 
 
