@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tunewright.catalog import query
@@ -405,6 +408,30 @@ def split_distribution(spark, sf):
     return out.withColumns({c: F.round(c, 6) for c in ("share", "overall", "difference")})
 
 
+RATIOS = ((0.8, 0.1, 0.1), (0.7, 0.15, 0.15), (0.6, 0.3, 0.1), (0.5, 0.0, 0.5))
+
+
+@query(
+    "split_sizes",
+    "WITH r(train, val, test) AS (VALUES "
+    + ", ".join(f"({a}::DOUBLE, {b}::DOUBLE, {c}::DOUBLE)" for a, b, c in RATIOS)
+    + """), n AS (SELECT count(*) AS n FROM orders),
+t AS (SELECT *, CAST(ceil(test * n) AS BIGINT) AS n_test FROM r, n),
+v AS (SELECT *, CAST(ceil(val / (train + val) * (n - n_test)) AS BIGINT) AS n_val FROM t)
+SELECT train, val, test, n - n_test - n_val AS n_train, n_val, n_test FROM v""",
+)
+def split_sizes(spark, sf):
+    """Rows of each part of the orders, split by several ratios."""
+    orders = table(spark, sf, "orders").select("o_orderkey")
+    parts = []
+    for ratios in RATIOS:
+        split = sp.split(orders, SplitSpec(*ratios), "o_orderkey")
+        sizes = [F.count_if(F.col("split") == name).alias(f"n_{name}") for name in sp.NAMES]
+        shares = [F.lit(x).alias(name) for x, name in zip(ratios, sp.NAMES, strict=True)]
+        parts.append(split.agg(*sizes).select(*shares, "n_train", "n_val", "n_test"))
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query(
     "split_sink",
     f"WITH {split_sql('documents', 'doc_id')} SELECT doc_id, text, split FROM split",
