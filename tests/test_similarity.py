@@ -141,6 +141,42 @@ def test_a_group_that_no_pivot_splits_stays_whole(spark):
     assert len(pairs) == len(set(pairs)) == int((np.triu(sims(x), 1) >= 0.98).sum())
 
 
+def shuffled_values(df):
+    """Columns of the plan's exchanges."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return [line for line in plan.split("\n") if "Exchange" in line]
+
+
+@pytest.mark.parametrize("threshold", [0.2, 0.98])
+def test_packs_of_large_cells_lose_no_pair(spark, monkeypatch, threshold):
+    """One cell of all rows, and large cells beside small ones; members are not shuffled for what they meet."""
+    monkeypatch.setattr(similarity_join, "PACK", 40)
+    rng = np.random.default_rng(4)
+    ball = unit(np.eye(24)[:1] + rng.normal(size=(300, 24)) * 0.002)
+    x = np.vstack([ball, clustered(300)])
+    rows = rows_of(spark, x)
+    pairs = similarity_join.edges(rows, len(x), threshold, 16, 16)
+    if threshold < 0.9:
+        assert not shuffled_values(pairs)
+    got = [(r.a, r.b) for r in pairs.collect()]
+    assert len(got) == len(set(got)) == int((np.triu(sims(x), 1) >= threshold).sum())
+    left, right = rows.filter("_order_hash < 'a'"), rows.filter("_order_hash >= 'a'")
+    names = {r._order_hash for r in left.collect()}
+    want = {h for a, b in got for h, other in ((a, b), (b, a)) if h in names and other not in names}
+    hit = similarity_join.struck(left, len(x), right, threshold, 16, 16).collect()
+    assert sorted(r._order_hash for r in hit) == sorted(want) and want
+
+
+def test_pairs_of_repeated_and_null_keys(spark):
+    """A pair comes once for each row that has its keys, of any type and name."""
+    rows = [("x", 1, [1.0, 0.0]), ("x", 1, [1.0, 0.0]), (None, 2, [1.0, 0.01]), (None, 2, [0.0, 1.0])]
+    df = spark.createDataFrame(rows, "`k.1` string, n int, v array<double>").withColumnRenamed("k.1", "k")
+    got = similarity_join.similar_pairs(df, ["k", "n"], "v", 0.9).collect()
+    assert len(got) == 2 * 2 and {frozenset([(r.a_k, r.a_n), (r.b_k, r.b_n)]) for r in got} == {
+        frozenset([("x", 1), (None, 2)])
+    }
+
+
 @pytest.mark.parametrize("block", [4096, 24])
 def test_struck_rows_are_those_near_another_table(spark, block):
     x = clustered(700)
