@@ -2,6 +2,7 @@
 
 import math
 import random
+from functools import partial
 
 import pytest
 
@@ -99,3 +100,16 @@ def test_table_equals_the_batch(spark, tmp_path):
 
 def test_empty_batch(fed):
     assert fed([[], [("r", "k", 1.0, None, None, None)]])[1][0].step == -1
+
+
+@pytest.mark.parametrize("buckets", [1, 5])
+def test_many_runs_in_one_state(fed, monkeypatch, buckets):
+    """Null and other runs and keys, of the same steps, stay apart, and only changes are emitted."""
+    monkeypatch.setattr(state, "metric_changes", partial(state.metric_changes, buckets=buckets))
+    names = [(r, k) for r in ("a", "b", "", None) for k in ("x", "", None)]
+    rows = [(r, k, float(i), i, 1.0, i) for r, k in names for i in (-1, 0, 1, 2000)]
+    later = [(r, k, 9.0, 1, 0.5 if r == "a" else 2.0, 1) for r, k in names]
+    first, second = fed([rows, rows + later])
+    got = lambda out: sorted(map(repr, ((r.run_id, r.key, r.value, r.step, r.ts, r.seq) for r in out)))
+    assert got(first) == sorted(map(repr, rows))
+    assert got(second) == sorted(repr(r) for r in later if r[0] != "a")
