@@ -2,6 +2,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -279,3 +280,24 @@ def test_run_all_by_group_and_of_nothing(pairs):
     nothing = metrics.run_all(pairs, [])
     assert nothing.columns == ["metric", "sub_metric", "value"] and nothing.count() == 0
     assert ev.evaluate(by, ["refusal"], by=["g"]).filter("g = 1").count() == 3
+
+
+def test_batches_are_scored_some_rows_at_a_time(monkeypatch):
+    """What is held at once is bounded by tokens, whatever the rows of a batch; a long row stays whole."""
+    rng = np.random.default_rng(3)
+    p, r = (
+        pa.array([None if n == 9 else [f"w{k}" for k in rng.integers(0, 7, n)] for n in rng.integers(0, 12, 60)])
+        for _ in range(2)
+    )
+    p = pa.concat_arrays([p, pa.array([["a"] * 50])])
+    r = pa.concat_arrays([r, pa.array([["a"] * 3])])
+    monkeypatch.setattr(metrics, "TOKENS", 20)
+    seen = []
+
+    def score(x, y):
+        seen.append(len(x.flatten()) + len(y.flatten()))
+        return metrics._shared_of(x, y)
+
+    assert metrics._by_slices(score, p, r).equals(metrics._shared_of(p, r))
+    assert max(seen[:-1]) <= 23 and sum(seen) == len(p.flatten()) + len(r.flatten()) and len(seen) > 20
+    assert metrics._by_slices(score, p[:0], r[:0]).equals(metrics._shared_of(p[:0], r[:0]))

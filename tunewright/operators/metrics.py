@@ -32,6 +32,7 @@ from tunewright.specs import REFUSAL_MESSAGE
 Metric = Callable[..., DataFrame]
 #: An aggregate over row scores, which it gets by their names.
 Value = Callable[[Callable[[str], Column]], Column]
+TOKENS = 1 << 16  # tokens of both sides that are scored at once
 TINY = 1e-9  # fixed value: keeps refusal ratios from dividing by zero
 
 
@@ -145,9 +146,19 @@ def _longs(*names: str) -> T.StructType:
     return T.StructType([T.StructField(n, T.LongType()) for n in names])
 
 
+def _by_slices(score, p: pa.Array, r: pa.Array) -> pa.Array:
+    """``score`` on some rows of a batch at a time: its numbers for tokens take more room than the tokens."""
+    parts = [score(p.slice(i, n), r.slice(i, n)) for i, n in vx.row_slices(p, r, items=TOKENS)]
+    return pa.concat_arrays(parts) if parts else score(p, r)
+
+
 @F.arrow_udf(_longs("n1", "n2", "lcs", "p", "r"))
 def _shared(p: pa.Array, r: pa.Array) -> pa.Array:
     """Shared unigrams and bigrams, longest common subsequence, and the tokens of each side."""
+    return _by_slices(_shared_of, p, r)
+
+
+def _shared_of(p: pa.Array, r: pa.Array) -> pa.Array:
     rows, sides, words = _coded(p, r)
     ones = _clipped(*_grams(rows, sides, words, 1), len(p))
     twos = _clipped(*_grams(rows, sides, words, 2), len(p))
@@ -159,8 +170,7 @@ def _shared(p: pa.Array, r: pa.Array) -> pa.Array:
 
 
 def _overlap(n: int):
-    @F.arrow_udf(_longs("n", "p", "r"))
-    def overlap(p: pa.Array, r: pa.Array) -> pa.Array:
+    def of(p: pa.Array, r: pa.Array) -> pa.Array:
         rows, sides, words = _coded(p, r)
         shared = _clipped(*_grams(rows, sides, words, n), len(p))
         sizes = [np.bincount(x, minlength=len(p)) for x in rows]
@@ -168,6 +178,10 @@ def _overlap(n: int):
             [pa.array(x, pa.int64()) for x in (shared, *sizes)], names=["n", "p", "r"]
         )
 
+    @F.arrow_udf(_longs("n", "p", "r"))
+    def overlap(p: pa.Array, r: pa.Array) -> pa.Array:
+        return _by_slices(of, p, r)
+
     return overlap
 
 
