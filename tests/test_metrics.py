@@ -301,3 +301,16 @@ def test_batches_are_scored_some_rows_at_a_time(monkeypatch):
     assert metrics._by_slices(score, p, r).equals(metrics._shared_of(p, r))
     assert max(seen[:-1]) <= 23 and sum(seen) == len(p.flatten()) + len(r.flatten()) and len(seen) > 20
     assert metrics._by_slices(score, p[:0], r[:0]).equals(metrics._shared_of(p[:0], r[:0]))
+
+
+def test_batches_are_embedded_some_rows_at_a_time(monkeypatch):
+    from tunewright.functions import embed as em
+
+    rng = np.random.default_rng(4)
+    tokens = pa.array([[f"w{k}" for k in rng.integers(0, 40, n)] for n in rng.integers(0, 30, 50)] + [[]])
+    monkeypatch.setattr(em, "TOKENS", 25)
+    seen = []
+    real = em._hashed
+    monkeypatch.setattr(em, "_hashed", lambda t, dim: seen.append(len(t.flatten())) or real(t, dim))
+    assert np.array_equal(em._in_slices(tokens, 16), real(tokens, 16))
+    assert max(seen) <= 30 and sum(seen) == len(tokens.flatten()) and len(seen) > 20
