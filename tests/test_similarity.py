@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -167,6 +168,24 @@ def test_packs_of_large_cells_lose_no_pair(spark, monkeypatch, threshold):
     assert sorted(r._order_hash for r in hit) == sorted(want) and want
 
 
+@pytest.mark.parametrize("dim", [1, 3, 700])
+def test_single_precision_loses_no_pair(dim, monkeypatch):
+    """Cosines within 1e-9 of the threshold on both sides, few and many in a strip."""
+    monkeypatch.setattr(similarity_join, "GATHER", 1000)
+    rng = np.random.default_rng(dim)
+    x = unit(rng.normal(size=(600, dim)))
+    y = unit(x + rng.normal(size=x.shape) * 1e-4)
+    a, b = (pa.table({"_v": pa.array(v.tolist()), "_guest": np.zeros(len(v), np.int32)}) for v in (x, y))
+    exact = np.round(x @ y.T, 9)
+    for t in (-0.1, 1.0, float(np.diag(exact)[5]), float(np.diag(exact)[5]) + 1e-9, *np.quantile(exact, [0.5, 0.997])):
+        got = [tuple(p) for at, to, _ in similarity_join._near(a, b, t) for p in zip(at.tolist(), to.tolist(), strict=True)]
+        seen = np.zeros(exact.shape, bool)
+        seen[tuple(np.array(got, int).reshape(-1, 2).T)] = True
+        # halves of the ninth decimal may be summed to either side
+        half = np.abs(np.abs(x @ y.T - t) - 5e-10) < 1e-13
+        assert len(got) == len(set(got)) and ((seen == (exact >= t)) | half).all()
+
+
 def test_pairs_of_repeated_and_null_keys(spark):
     """A pair comes once for each row that has its keys, of any type and name."""
     rows = [("x", 1, [1.0, 0.0]), ("x", 1, [1.0, 0.0]), (None, 2, [1.0, 0.01]), (None, 2, [0.0, 1.0])]
