@@ -30,6 +30,7 @@ from tunewright.functions.vectors import to_matrix
 from tunewright.operators.rank import HASH, first_by_hash, order_hash
 from tunewright.operators.similarity_join import (
     BLOCK,
+    DECIMALS,
     collapse_copies,
     cosines,
     edges,
@@ -72,14 +73,30 @@ def greedy_rows(x: np.ndarray, threshold: float, batch: int = 4096) -> np.ndarra
     return np.concatenate(out)
 
 
+def farther(x: np.ndarray, kept: np.ndarray, small: np.ndarray, threshold: float) -> np.ndarray:
+    """Which rows have no cosine to ``kept`` that reaches the threshold; ``small`` is ``kept`` in single precision.
+
+    Single precision decides what its error leaves beyond doubt, double precision the rest.
+    """
+    slack = (x.shape[1] + 8) * 2.0**-23 + 10.0**-DECIMALS
+    top = (x.astype(np.float32) @ small.T).max(axis=1)
+    far = top < threshold - slack
+    doubt = np.flatnonzero(~far & ~(top > threshold + slack))
+    if len(doubt):
+        far[doubt] = cosines(x[doubt], kept).max(axis=1) < threshold
+    return far
+
+
 def _apart(kept: np.ndarray, threshold: float):
+    small = kept.astype(np.float32)
+
     @F.arrow_udf("boolean")
     def apart(v: pa.Array) -> pa.Array:
         if not len(v):
             return pa.array([], pa.bool_())
         x = to_matrix(v)
         # a strip at a time: the rows of a batch have many cosines
-        far = [cosines(x[i : i + 512], kept).max(axis=1) < threshold for i in range(0, len(x), 512)]
+        far = [farther(x[i : i + 512], kept, small, threshold) for i in range(0, len(x), 512)]
         return pa.array(np.concatenate(far))
 
     return apart(F.col("_v"))
